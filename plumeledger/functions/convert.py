@@ -14,40 +14,47 @@ from collections.abc import Collection
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted text forms.
-OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-INNER_SPACE = r"(?U)[\s\x1c-\x1f]+"
-DIGIT_SEPARATOR = r"(?<=[0-9])_(?=[0-9])"
+# White space (every character that counts as such in Unicode, and the
+# four ASCII separators) and the accepted text forms.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+INNER_SPACE = f"[{SPACES}]+"
 TIMESTAMP = (
     r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
     r"( [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?)?$"
 )
 NUMBER = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)$"
-SIGNED_NAN = r"(?i)^[+-]nan$"
+# What Spark's cast does not understand: separators between digits and the sign of a NaN.
+UNCASTABLE = r"(?i)(?<=[0-9])_(?=[0-9])|^[+-](?=nan$)"
 YEAR_PREFIX = r"^[0-9]{4}"
 
 
-def _column(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def _trimmed(col: Column | str) -> Column:
+    return F.btrim(F.col(col) if isinstance(col, str) else col, F.lit(SPACES))
 
 
 def clean_text(col: Column | str) -> Column:
     """Trim all outer white space; blank becomes null."""
-    return F.nullif(F.regexp_replace(_column(col), OUTER_SPACE, ""), F.lit(""))
+    return F.nullif(_trimmed(col), F.lit(""))
+
+
+# The converters extract the text that matches as a whole, the empty text otherwise, which
+# casts to null. As one chain, no step is evaluated twice.
 
 
 def parse_ts(col: Column | str) -> Column:
     """Date, or date and time with up to six fraction digits, as TIMESTAMP_NTZ."""
-    text = F.regexp_replace(clean_text(col), INNER_SPACE, " ")
-    return F.when(text.rlike(TIMESTAMP), text).try_cast("timestamp_ntz")
+    text = F.regexp_replace(_trimmed(col), INNER_SPACE, " ")
+    return F.regexp_extract(text, TIMESTAMP, 0).try_cast("timestamp_ntz")
 
 
 def parse_double(col: Column | str) -> Column:
     """Decimal text as DOUBLE; "nan", "inf" and digit separators are accepted."""
-    text = F.regexp_replace(clean_text(col), DIGIT_SEPARATOR, "")
-    return F.when(text.rlike(SIGNED_NAN), F.lit(float("nan"))).when(
-        text.rlike(NUMBER), text.try_cast("double")
-    )
+    text = F.regexp_replace(_trimmed(col), UNCASTABLE, "")
+    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
 
 
 def parse_long(col: Column | str) -> Column:
@@ -57,7 +64,7 @@ def parse_long(col: Column | str) -> Column:
 
 def year_prefix(col: Column | str) -> Column:
     """The first four characters as INT if all are digits; the text is not trimmed."""
-    text = _column(col)
+    text = F.col(col) if isinstance(col, str) else col
     return F.when(text.rlike(YEAR_PREFIX), F.substring(text, 1, 4).try_cast("int"))
 
 

@@ -32,7 +32,7 @@ SUBSECTOR = "PROMO"
 YEAR = 1998
 PARTIAL = 2001
 SOURCE = 7
-OWNERS = ("Customer#000000102", "Customer#000000042", "Customer#000000011")
+OWNERS = ("Customer#000000087", "Customer#000000269", "Customer#000000045")
 SECTORS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 HOLDING = 120
 
@@ -369,7 +369,7 @@ def owner_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def default_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presentation.default_owners(top_owners_of_year(spark, sf_dir))
+    return ranking.default_owners(top_owners_of_year(spark, sf_dir))
 
 
 @query
@@ -426,22 +426,19 @@ def year_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def convert_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts = F.col("ts")
-
-    def shaped(pattern: str) -> Column:
-        return F.date_format(ts, pattern)
-
+    whole = F.col("ts").cast("string")
+    day, time = F.substring(whole, 1, 10), F.substring(whole, 12, 8)
     texts = {
-        "fraction": shaped("yyyy-MM-dd HH:mm:ss.SSSSSS"),
-        "seconds": F.concat(F.lit("  "), shaped("yyyy-MM-dd HH:mm:ss"), F.lit("\t")),
-        "wide_gap": shaped("yyyy-MM-dd   HH:mm:ss"),
-        "day": shaped("yyyy-MM-dd"),
-        "short_day": shaped("yyyy-M-d"),
-        "year_only": shaped("yyyy"),
-        "zoned": F.concat(shaped("yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")),
-        "offset": F.concat(shaped("yyyy-MM-dd HH:mm:ss"), F.lit("+05:00")),
-        "bad_month": F.concat(shaped("yyyy"), F.lit("-13-"), shaped("dd")),
-        "long_fraction": F.concat(shaped("yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("1")),
+        "fraction": whole,
+        "seconds": F.concat(F.lit("  "), day, F.lit(" "), time, F.lit("\t")),
+        "wide_gap": F.concat_ws("   ", day, time),
+        "day": day,
+        "short_day": F.concat_ws("-", F.year("ts"), F.month("ts"), F.day("ts")),
+        "year_only": F.substring(whole, 1, 4),
+        "zoned": F.concat(day, F.lit("T"), time, F.lit("Z")),
+        "offset": F.concat(day, F.lit(" "), time, F.lit("+05:00")),
+        "bad_month": F.concat(F.substring(whole, 1, 4), F.lit("-13-"), F.substring(whole, 9, 2)),
+        "long_fraction": F.concat(day, F.lit(" "), time, F.lit(".1234567")),
     }
     events = driver_table(spark, sf_dir, "events")
     return events.select("event_id", *[convert.parse_ts(t).alias(n) for n, t in texts.items()])
@@ -504,7 +501,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def year_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     return driver_table(spark, sf_dir, "orders").select(
         "o_orderkey",
         convert.year_prefix(day).alias("day"),
@@ -609,13 +606,7 @@ def analysis_owner_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_text(df: DataFrame) -> DataFrame:
     """All columns as the text a CSV file would have."""
-
-    def text(name: str, kind: str) -> Column:
-        if kind == "timestamp_ntz":
-            return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
-        return F.col(name).cast("string")
-
-    return df.select(*[text(f.name, f.dataType.simpleString()).alias(f.name) for f in df.schema])
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
 def _write_csv(df: DataFrame, entry: str) -> None:
