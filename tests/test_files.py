@@ -1,0 +1,210 @@
+"""CSV file sets: discovery, headers, dialect, rejects, loading and streaming."""
+
+import csv
+
+import pytest
+from pyspark.sql import functions as F
+
+from plumeledger.schemas import TABLES
+from plumeledger.sources.csv_files import REJECT, discover, headers, read_named_csv
+from plumeledger.sources.ingest import (
+    KINDS,
+    ingest,
+    load,
+    load_report,
+    map_ownership,
+    requested_kinds,
+    split_rejects,
+)
+from plumeledger.sources.tables import read_table
+from plumeledger.streaming.incremental import ingest_stream
+
+
+def write(path, names, lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f)
+        writer.writerow(names)
+        writer.writerows(lines)
+
+
+def cells(kind, **values):
+    """All required cells of a kind, blank unless given."""
+    return {c: "" for c in KINDS[kind].required} | values
+
+
+def write_kind(path, kind, records, drop=(), reverse=False):
+    names = [c for c in dict.fromkeys(k for r in records for k in cells(kind, **r)) if c not in drop]
+    if reverse:
+        names = names[::-1]
+    write(path, names, [[cells(kind, **r).get(c, "") for c in names] for r in records])
+
+
+COUNTRY = {
+    "iso3_country": "DEU",
+    "sector": "power",
+    "subsector": "coal",
+    "gas": "co2",
+    "start_time": "2020-01-01 00:00:00",
+}
+SOURCE = {"subsector": "coal", "source_id": "7", "start_time": "2020-01-01"}
+
+
+def test_discover(spark, tmp_path, rows):
+    for name in (
+        "power/coal_emissions_sources_v1.csv",
+        "power/coal_emissions_sources_confidence_v1.csv",
+        "waste/tip_emissions_sources_v1.csv",
+        "waste/tip_emissions_sources_v1.txt",
+        "waste/deep/er_emissions_sources_v1.csv",
+        "top_emissions_sources_v1.csv",
+    ):
+        write(tmp_path / name, ["a"], [["1"]])
+    pattern = KINDS["emissions_sources"].pattern
+
+    def names(path_filter=None):
+        found = rows(discover(spark, str(tmp_path), pattern, path_filter))
+        return [path.rsplit("/", 2)[1:] for path, _ in found]
+
+    assert names() == [
+        ["power", "coal_emissions_sources_v1.csv"],
+        ["waste", "tip_emissions_sources_v1.csv"],
+    ]
+    assert names("/waste/") == [["waste", "tip_emissions_sources_v1.csv"]]
+    assert names("nothing") == []
+    assert rows(discover(spark, str(tmp_path / "absent"), pattern)) == []
+
+
+def test_columns_by_name(spark, tmp_path, rows):
+    write(tmp_path / "1.csv", ["k", "v"], [["a", "1"], ["b", 'x "q" y\nz'], ["c"]])
+    write(tmp_path / "2.csv", ["v", "extra", "k"], [["2", "?", "d"], ["3", "?", "e", "too", "long"]])
+    write(tmp_path / "3.csv", ["k", "k", "v"], [["first", "f", "4"]])
+    write(tmp_path / "4.csv", ["K", "v"], [["g", "5"]])
+    (tmp_path / "5.csv").write_text("")
+    paths = [str(tmp_path / f"{i}.csv") for i in range(1, 6)]
+    assert len(headers(spark, paths)) == 4
+    found = read_named_csv(spark, paths, ["k", "v"], ["option"])
+    assert rows(found.select("k", "v", "option", REJECT), sort=True) == [
+        ("a", "1", None, None),
+        ("b", 'x "q" y\nz', None, None),
+        ("c", None, None, None),
+        ("d", "2", None, None),
+        ("e", "3", None, None),
+        ("f", "4", None, None),
+        (None, "5", None, "missing column(s): k"),
+    ]
+    assert rows(read_named_csv(spark, [], ["k"])) == []
+
+
+def test_kinds(capsys):
+    assert requested_kinds() == list(KINDS)
+    assert requested_kinds("ownership, nonsense,") == ["ownership"]
+    assert "nonsense" in capsys.readouterr().out
+
+
+def test_missing_required_column(spark, tmp_path, rows):
+    write_kind(tmp_path / "p/a_country_emissions_v1.csv", "country_emissions", [COUNTRY])
+    write_kind(tmp_path / "p/b_country_emissions_v1.csv", "country_emissions", [COUNTRY], drop=["gas"])
+    no_year = COUNTRY | {"start_time": " 2020-01-01", "gas": " "}
+    write_kind(tmp_path / "p/c_country_emissions_v1.csv", "country_emissions", [no_year], reverse=True)
+    loaded = ingest(spark, str(tmp_path), "country_emissions")["country_emissions"]
+    good, rejects = split_rejects(loaded, "country_emissions")
+    assert rows(good.select("year", "gas", "subsector")) == [(2020, "co2", "coal")]
+    assert rows(rejects.select(REJECT), sort=True) == [
+        ("missing column(s): gas",),
+        ("no value for key column(s): year, gas",),
+    ]
+
+
+def test_parent_without_id(spark, rows):
+    raw = spark.createDataFrame([tuple(cells("ownership", parent_name="A").values())] * 2, ", ".join(f"{c} string" for c in KINDS["ownership"].required))
+    mapped = map_ownership(raw)
+    assert mapped.columns == list(TABLES["emissions_sources_ownership"].columns)
+    assert rows(mapped.select("parent_entity_id", "parent_lei")) == [("?", None)] * 2
+
+
+@pytest.fixture
+def csv_root(tmp_path):
+    root = tmp_path / "csv"
+    name = "power/a_emissions_sources_v1.csv"
+    many = [SOURCE | {"source_id": f"{i}.0", "emissions_quantity": str(i), "activity": "1_0"} for i in range(50)]
+    write_kind(root / name, "emissions_sources", [SOURCE | {"emissions_quantity": "1"}, *many])
+    later = [
+        SOURCE | {"emissions_quantity": "2", "other1_def": "load", "other1": "high"},
+        SOURCE | {"emissions_quantity": "n/a", "other1_def": "load", "other1": "low"},
+        SOURCE | {"source_id": "x"},
+    ]
+    write_kind(root / name.replace("a_", "b_"), "emissions_sources", later, reverse=True)
+    rating = SOURCE | {"activity": "high", "capacity": "1"}
+    write_kind(root / "power/a_emissions_sources_confidence_v1.csv", "confidence", [rating])
+    return str(root)
+
+
+def check_sources(spark, rows, root):
+    table = read_table(spark, root, "emissions_sources")
+    assert table.columns == list(TABLES["emissions_sources"].columns)
+    assert table.count() == 50
+    seven = table.filter(F.col("source_id") == 7)
+    # The last row of the last file, its missing quantity included.
+    assert rows(seven.select("emissions_quantity", "activity", "other")) == [(None, None, {"load": "low"})]
+    eight = table.filter(F.col("source_id") == 8)
+    assert rows(eight.select("emissions_quantity", "activity", "other")) == [(8.0, 10.0, None)]
+    rejects = spark.read.parquet(f"{root}/_rejects/emissions_sources")
+    assert rows(rejects.select(REJECT)) == [("no value for key column(s): source_id",)]
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_load(spark, tmp_path, rows, csv_root, multiline, capsys):
+    root = str(tmp_path / "tables")
+    load(spark, csv_root, root, multiline=multiline)
+    check_sources(spark, rows, root)
+    assert read_table(spark, root, "emissions_sources_confidence").first()["capacity"] == "1"
+    assert "a_emissions_sources_v1.csv" in capsys.readouterr().out
+    load(spark, csv_root, root, "emissions_sources", "/b_")
+    assert read_table(spark, root, "emissions_sources").count() == 50
+
+
+def test_split_files_keep_row_order(spark, tmp_path, rows):
+    """Splits of one file are told apart by their offset."""
+    write_kind(
+        tmp_path / "csv/p/a_emissions_sources_v1.csv",
+        "emissions_sources",
+        [SOURCE | {"source_id": str(i % 10), "emissions_quantity": str(i)} for i in range(3000)],
+    )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        load(spark, str(tmp_path / "csv"), str(tmp_path / "t"), multiline=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    table = read_table(spark, str(tmp_path / "t"), "emissions_sources")
+    assert rows(table.select("emissions_quantity"), sort=True) == [(float(q),) for q in range(2990, 3000)]
+
+
+def test_report(spark, csv_root):
+    report = load_report(ingest(spark, csv_root)).collect()
+    found = [(r["kind"], r["_file"] and r["_file"].rsplit("/", 1)[1][:1], r["rows"], r["files"]) for r in report]
+    assert found == [
+        ("confidence", "a", 1, 1),
+        ("confidence", None, 1, 1),
+        ("emissions_sources", "a", 51, 1),
+        ("emissions_sources", "b", 3, 1),
+        ("emissions_sources", None, 54, 2),
+        (None, None, 55, 3),
+    ]
+
+
+def test_stream(spark, tmp_path, rows, csv_root):
+    root, checkpoint = str(tmp_path / "tables"), str(tmp_path / "checkpoint")
+
+    def run():
+        query = ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint, max_files=1)
+        assert query.awaitTermination(120)
+
+    run()
+    check_sources(spark, rows, root)
+    new = [SOURCE | {"source_id": "8", "emissions_quantity": "80"}, SOURCE | {"source_id": "99"}]
+    write_kind(tmp_path / "csv/waste/c_emissions_sources_v1.csv", "emissions_sources", new)
+    run()
+    table = read_table(spark, root, "emissions_sources")
+    assert table.count() == 51
+    assert table.filter(F.col("source_id") == 8).first()["emissions_quantity"] == 80.0
