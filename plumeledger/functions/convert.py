@@ -21,40 +21,61 @@ SPACES = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-INNER_SPACE = f"[{SPACES}]+"
+GAP = f"[{SPACES}]"
+DIGITS = "[0-9](?:_?[0-9])*+"
 TIMESTAMP = (
-    r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-    r"( [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?)?$"
+    rf"^{GAP}*(?!0000)[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}"
+    rf"(?:{GAP}+[0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}(?:\.[0-9]{{1,6}})?)?{GAP}*\z"
 )
-NUMBER = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)$"
-# What Spark's cast does not understand: separators between digits and the sign of a NaN.
-UNCASTABLE = r"(?i)(?<=[0-9])_(?=[0-9])|^[+-](?=nan$)"
+NUMBER = (
+    rf"^{GAP}*[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?{GAP}*\z"
+)
+NAN = rf"(?i)^{GAP}*[+-]?nan{GAP}*\z"
+INFINITE = rf"(?i)^{GAP}*[+-]?inf(?:inity)?{GAP}*\z"
 YEAR_PREFIX = r"^[0-9]{4}"
+# Common forms that the cast alone gets right, whether it accepts or refuses them.
+PLAIN_TIMESTAMP = r"^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}(?: [0-9]{2}:[0-9]{2}:[0-9]{2})?\z"
+PLAIN_NUMBER = r"^[-.0-9]+\z"
+
+
+def _column(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
-def _trimmed(col: Column | str) -> Column:
-    return F.btrim(F.col(col) if isinstance(col, str) else col, F.lit(SPACES))
+def _trimmed(col: Column) -> Column:
+    return F.btrim(col, F.lit(SPACES))
 
 
 def clean_text(col: Column | str) -> Column:
     """Trim all outer white space; blank becomes null."""
-    return F.nullif(_trimmed(col), F.lit(""))
+    return F.nullif(_trimmed(_column(col)), F.lit(""))
 
 
-# The converters extract the text that matches as a whole, the empty text otherwise, which
-# casts to null. As one chain, no step is evaluated twice.
+# Most cells have a plain form, which one cheap pattern recognises; the others are put
+# into a form that the cast understands. Only what matches is cast: a failing cast costs
+# far more than a pattern.
 
 
 def parse_ts(col: Column | str) -> Column:
     """Date, or date and time with up to six fraction digits, as TIMESTAMP_NTZ."""
-    text = F.regexp_replace(_trimmed(col), INNER_SPACE, " ")
-    return F.regexp_extract(text, TIMESTAMP, 0).try_cast("timestamp_ntz")
+    cell = _column(col)
+    spaced = F.regexp_replace(_trimmed(cell), f"{GAP}+", " ")
+    return F.when(cell.rlike(PLAIN_TIMESTAMP), cell.try_cast("timestamp_ntz")).when(
+        cell.rlike(TIMESTAMP), spaced.try_cast("timestamp_ntz")
+    )
 
 
 def parse_double(col: Column | str) -> Column:
     """Decimal text as DOUBLE; "nan", "inf" and digit separators are accepted."""
-    text = F.regexp_replace(_trimmed(col), UNCASTABLE, "")
-    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
+    cell = _column(col)
+    bare = F.replace(_trimmed(cell), F.lit("_"), F.lit(""))
+    infinity = float("inf")
+    return (
+        F.when(cell.rlike(PLAIN_NUMBER), cell.try_cast("double"))
+        .when(cell.rlike(NUMBER), bare.try_cast("double"))
+        .when(cell.rlike(NAN), F.lit(float("nan")))
+        .when(cell.rlike(INFINITE), F.when(cell.contains("-"), -infinity).otherwise(infinity))
+    )
 
 
 def parse_long(col: Column | str) -> Column:
@@ -64,7 +85,7 @@ def parse_long(col: Column | str) -> Column:
 
 def year_prefix(col: Column | str) -> Column:
     """The first four characters as INT if all are digits; the text is not trimmed."""
-    text = F.col(col) if isinstance(col, str) else col
+    text = _column(col)
     return F.when(text.rlike(YEAR_PREFIX), F.substring(text, 1, 4).try_cast("int"))
 
 
@@ -90,11 +111,15 @@ def pairs_to_map(columns: Collection[str], n: int = 10) -> Column:
         ),
         lambda p: p["key"].isNotNull() & p["value"].isNotNull(),
     )
-    # map_from_entries refuses repeated keys, so drop an entry when a later one has its key.
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(
-            F.slice(pairs, i + F.lit(2), F.lit(len(present))), lambda q: q["key"] == p["key"]
-        ),
-    )
-    return F.when(F.size(last) > 0, F.map_from_entries(last))
+
+    def last_wins(found: Column) -> Column:
+        # map_from_entries refuses repeated keys: drop an entry that has its key again later.
+        def again(p: Column, i: Column) -> Column:
+            later = F.slice(found, i + F.lit(2), F.lit(len(present)))
+            return F.exists(later, lambda q: q["key"] == p["key"])
+
+        kept = F.filter(found, lambda p, i: ~again(p, i))
+        return F.when(F.size(found) > 0, F.map_from_entries(kept))
+
+    # As a lambda variable the pairs are built once per row, not once per mention.
+    return F.transform(F.array(pairs), last_wins)[0]

@@ -30,12 +30,13 @@ def _nearest(x: Column, digits: int) -> Column:
 
 
 def _fixed(x: Column, digits: int) -> Column:
-    """x with a fixed number of decimals (0 or 1)."""
-    n = _nearest(F.abs(x), digits)
-    text = n.cast("string")
-    if digits == 1:
-        text = F.concat(F.floor(n / 10).cast("string"), F.lit("."), F.pmod(n, F.lit(10)).cast("string"))
-    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), text)
+    """x with a fixed number of decimals (0 or 1).
+
+    The steps mention their input many times; as lambda variables they are small code.
+    """
+    nearest = F.transform(F.array(F.abs(x)), lambda v: _nearest(v, digits))
+    text = F.transform(nearest, lambda n: F.format_string(f"%.{digits}f", n / 10**digits))
+    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), text[0])
 
 
 def fmt_tonnes(col: Column | str) -> Column:
@@ -48,7 +49,7 @@ def fmt_tonnes(col: Column | str) -> Column:
         .when(size == float("inf"), infinite)
         .when(size >= 1e6, F.concat(_fixed(t / 1e6, 1), F.lit(" Mt")))
         .when(size >= 1e3, F.concat(_fixed(t / 1e3, 1), F.lit(" kt")))
-        .otherwise(F.concat(_fixed(t, 0), F.lit(" t")))
+        .when(size >= 0, F.concat(_fixed(t, 0), F.lit(" t")))
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.display import served
@@ -32,6 +32,12 @@ def list_sectors(country: DataFrame, iso3_country: str = "DEU") -> DataFrame:
     return distinct_sorted(country.filter(F.col("iso3_country") == iso3_country), "sector")
 
 
+def list_sectors_for(country: DataFrame, wanted: DataFrame) -> DataFrame:
+    keys = ["iso3_country"]
+    found = _wanted(country.select(*keys, "sector"), wanted, keys).distinct()
+    return found.orderBy(*keys, "sector")
+
+
 def list_subsectors(country: DataFrame, sector: str, iso3_country: str = "DEU") -> DataFrame:
     chosen = (F.col("iso3_country") == iso3_country) & (F.col("sector") == sector)
     return distinct_sorted(country.filter(chosen), "subsector")
@@ -155,3 +161,17 @@ def facility_months(
         .orderBy("start_time")
         .limit(n)
     )
+
+
+def facility_months_for(sources: DataFrame, wanted: DataFrame, n: int = 12) -> DataFrame:
+    """``wanted`` has ``subsector`` and ``source_id``; the first n months of each."""
+    keys = ["subsector", "source_id"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("start_time"))
+    return (
+        _wanted(sources, wanted, keys)
+        .select(*keys, "start_time", QUANTITY, "activity", "capacity")
+        .withColumn("_place", place)
+        .filter(F.col("_place") <= n)
+        .drop("_place")
+        .orderBy(*keys, "start_time")
+    )

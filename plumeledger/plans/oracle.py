@@ -336,6 +336,7 @@ ORACLE: dict[str, str] = {
     "list_sectors": _with(
         ("country",), f"select distinct sector from country where iso3_country = '{ISO}'"
     ),
+    "list_sectors_set": _with(("country",), "select distinct iso3_country, sector from country"),
     "list_subsectors": _with(
         ("country",),
         f"""
@@ -418,6 +419,16 @@ ORACLE: dict[str, str] = {
         order by start_time limit 12
         """,
     ),
+    "facility_months_set": _with(
+        ("monthly",),
+        """
+        select subsector, source_id, start_time, emissions_quantity, activity,
+               cast(null as double) as capacity
+        from (select *, row_number() over (partition by subsector, source_id
+                     order by start_time) as place from monthly) placed
+        where place <= 12
+        """,
+    ),
     "sector_pivot": _with(
         ("timeseries",),
         f"""

@@ -6,7 +6,7 @@ Sums of doubles are rounded to cents before anything is ranked by them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,6 +199,12 @@ def list_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.list_sectors(standins.country(spark, sf_dir), ISO)
 
 
+@query
+def list_sectors_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = driver_table(spark, sf_dir, "region").select(F.col("r_name").alias("iso3_country"))
+    return lookups.list_sectors_for(standins.country(spark, sf_dir), wanted)
+
+
 @query
 def list_subsectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.list_subsectors(standins.country(spark, sf_dir), SECTOR, ISO)
@@ -302,15 +308,30 @@ def ownership_of_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.ownership_of_for(standins.ownership(spark, sf_dir), wanted)
 
 
-@query
-def facility_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly rows: one per key, as the table has them."""
-    rows = latest_by_key(
+    return latest_by_key(
         standins.sources(spark, sf_dir),
         ("subsector", "source_id", "start_time"),
         [F.desc(QUANTITY), F.desc("activity")],
     )
-    return lookups.facility_months(rows, SUBSECTOR, SOURCE)
+
+
+@query
+def facility_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.facility_months(_months(spark, sf_dir), SUBSECTOR, SOURCE)
+
+
+@query
+def facility_months_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first months of every facility in every subsector."""
+    part = driver_table(spark, sf_dir, "part")
+    supplier = driver_table(spark, sf_dir, "supplier")
+    subsectors = part.select(F.col("p_type").alias("subsector")).distinct()
+    ids = F.col("s_suppkey").alias("source_id")
+    wanted = supplier.select(ids, F.explode(F.array(*map(F.lit, SECTORS))).alias("subsector"))
+    wanted = wanted.join(subsectors, "subsector", "left_semi")
+    return lookups.facility_months_for(_months(spark, sf_dir), wanted)
 
 
 # --- presentation ------------------------------------------------------------
@@ -424,6 +445,11 @@ def year_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- conversions -------------------------------------------------------------
 
 
+def _cells(df: DataFrame, keys: Sequence[str], texts: dict[str, Column]) -> DataFrame:
+    """Text columns as a file would provide them, made once in a projection of their own."""
+    return df.select(*keys, *[text.alias(name) for name, text in texts.items()])
+
+
 @query
 def convert_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.col("ts").cast("string")
@@ -440,8 +466,8 @@ def convert_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bad_month": F.concat(F.substring(whole, 1, 4), F.lit("-13-"), F.substring(whole, 9, 2)),
         "long_fraction": F.concat(day, F.lit(" "), time, F.lit(".1234567")),
     }
-    events = driver_table(spark, sf_dir, "events")
-    return events.select("event_id", *[convert.parse_ts(t).alias(n) for n, t in texts.items()])
+    cells = _cells(driver_table(spark, sf_dir, "events"), ["event_id"], texts)
+    return cells.select("event_id", *[convert.parse_ts(n).alias(n) for n in texts])
 
 
 @query
@@ -459,15 +485,17 @@ def convert_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "word": F.col("l_returnflag"),
         "blank": F.lit("  "),
     }
-    flag = F.col("l_linestatus")
-    special = convert.parse_double(F.when(flag == "O", F.lit("-nan")).otherwise(F.lit("+Infinity")))
-    return driver_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_linestatus",
-        *[convert.parse_double(t).alias(n) for n, t in texts.items()],
-        F.isnan(special).alias("is_nan"),
-        (special == float("inf")).alias("is_infinite"),
+    open_line = F.col("l_linestatus") == "O"
+    special = F.when(open_line, F.lit("-nan")).otherwise(F.lit("+Infinity"))
+    keys = ["l_orderkey", "l_linenumber", "l_linestatus"]
+    cells = _cells(
+        driver_table(spark, sf_dir, "lineitem"), keys, texts | {"special": special}
+    )
+    return cells.select(
+        *keys,
+        *[convert.parse_double(n).alias(n) for n in texts],
+        F.isnan(convert.parse_double("special")).alias("is_nan"),
+        (convert.parse_double("special") == float("inf")).alias("is_infinite"),
     )
 
 
@@ -484,8 +512,8 @@ def convert_longs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "infinite": F.lit("inf"),
         "word": F.col("l_linestatus"),
     }
-    lines = driver_table(spark, sf_dir, "lineitem")
-    return lines.select("l_partkey", *[convert.parse_long(t).alias(n) for n, t in texts.items()])
+    cells = _cells(driver_table(spark, sf_dir, "lineitem"), ["l_partkey"], texts)
+    return cells.select("l_partkey", *[convert.parse_long(n).alias(n) for n in texts])
 
 
 @query

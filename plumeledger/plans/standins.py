@@ -129,11 +129,20 @@ def ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facility_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ownership`` summed over subsectors: one row per facility and parent."""
-    return (
-        ownership(spark, sf_dir)
-        .groupBy("source_id", "parent_entity_id", "parent_name")
-        .agg(F.sum("overall_share_percent").alias("overall_share_percent"))
+    """``ownership`` over all subsectors: one row per facility and parent."""
+    orders = driver_table(spark, sf_dir, "orders")
+    customer = driver_table(spark, sf_dir, "customer")
+    held = (
+        _lines(spark, sf_dir)
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("l_suppkey", "o_custkey")
+        .agg(F.sum("l_quantity").alias("quantity"))
+    )
+    return held.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("l_suppkey").alias("source_id"),
+        F.col("c_custkey").cast("string").alias("parent_entity_id"),
+        F.col("c_name").alias("parent_name"),
+        F.when(F.col("c_acctbal") >= 0, F.col("quantity")).alias("overall_share_percent"),
     )
 
 

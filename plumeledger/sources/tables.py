@@ -100,7 +100,11 @@ def write_table(
     table = TABLES[name]
     spark = df.sparkSession
     if order is None:
-        order = [F.desc(c) for c, kind in table.columns.items() if not kind.startswith("map")]
+        # Maps have no order of their own; their sorted entries do.
+        order = [
+            F.desc(F.array_sort(F.map_entries(c)) if kind.startswith("map") else F.col(c))
+            for c, kind in table.columns.items()
+        ]
     extra = [c for c in df.columns if c not in table.columns]
     rows = table.with_derived(conform(df, name, keep=extra))
     fresh = latest_by_key(rows, table.key, order).drop(*extra)

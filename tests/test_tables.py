@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from plumeledger.plans.analysis import ROLLUPS, reports, run_analysis
 from plumeledger.plans.standins import as_table
-from plumeledger.schemas import TABLES, conform
+from plumeledger.operators import lookups, ranking
+from plumeledger.schemas import RESULTS, TABLES, conform, conform_result
 from plumeledger.sources import tables
 from plumeledger.sources.tables import read_table, table_exists, write_table
 from plumeledger.sources.workspace import work_dir
@@ -47,12 +48,37 @@ def test_conform(spark):
     with pytest.raises(ValueError, match="source_count is bigint, not int"):
         conform(good.withColumn("source_count", F.lit(1).cast("long")), "analysis_owner_year")
     null_key = spark.createDataFrame([(2020, None, 1.0, 1)], OWNER)
-    with pytest.raises(Exception, match="null in a key column"):
+    with pytest.raises(Exception, match="null in one of"):
         conform(null_key, "analysis_owner_year").collect()
     null_value = spark.createDataFrame([(2020, "a", None, None)], OWNER)
     assert conform(null_value, "analysis_owner_year").count() == 1
 
 
+def test_results_have_their_shape(spark):
+    def empty(name):
+        columns = ", ".join(f"{c} {kind}" for c, kind in TABLES[name].columns.items())
+        return spark.createDataFrame([], columns)
+
+    country, top = empty("country_emissions"), empty("analysis_top_sources")
+    owners, trends = empty("analysis_owner_year"), empty("analysis_owner_trend")
+    found = {
+        "sector_total": lookups.sector_timeseries(empty("analysis_sector_year")),
+        "subsector_row": lookups.sector_subsectors(country, "power"),
+        "source_point": lookups.points_of(empty("analysis_source_year"), "coal", 2020),
+        "top_source": lookups.top_of(top, "coal", 2020),
+        "ownership_row": lookups.ownership_of(empty("emissions_sources_ownership"), "coal", 1),
+        "owner_row": ranking.top_owners(owners, 2020),
+        "owner_trend_point": lookups.owner_trend(trends, "a"),
+    }
+    assert set(found) == set(RESULTS)
+    for name, df in found.items():
+        assert conform_result(df, name).columns == df.columns
+        assert conform_result(df, name).count() == 0
+    no_quantity = spark.createDataFrame([("a", None, 1)], "owner string, emissions_quantity double, source_count int")
+    with pytest.raises(Exception, match="null in one of"):
+        conform_result(no_quantity, "owner_row").collect()
+
+
 def test_upsert(spark, tmp_path, rows):
     root = str(tmp_path)
     day = datetime(2020, 1, 1)
@@ -153,7 +179,7 @@ def test_failed_merge_leaves_the_table(spark, tmp_path, rows, monkeypatch):
     day = datetime(2020, 1, 1)
     write_table(months(spark, [("a", 1, day, 1.0)]), root, "emissions_sources")
     broken = months(spark, [("a", 1, day, 2.0), ("a", None, day, 2.0)])
-    with pytest.raises(Exception, match="null in a key column"):
+    with pytest.raises(Exception, match="null in one of"):
         write_table(broken, root, "emissions_sources")
     assert rows(read_table(spark, root, "emissions_sources").select("emissions_quantity")) == [(1.0,)]
 
