@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.display import served
-from .rollups import QUANTITY, distinct_sorted
+from .rollups import QUANTITY
 
 # The years on offer, the year not yet complete, the size of a comparison
 # and of the colour palette, and the bubble radius range.
@@ -26,14 +26,12 @@ def _positive(column: str) -> Column:
 def pivot_clamped(timeseries: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """Year x sector matrix, sinks (negative) as 0, cells without a row null.
 
-    Passing the sectors saves the extra job that finds them.
+    Passing the sectors saves the extra job in which Spark finds them.
     """
-    if categories is None:
-        categories = [r[0] for r in distinct_sorted(timeseries, "sector").collect()]
     clamped = F.greatest(F.lit(0.0), served(QUANTITY))
     return (
         timeseries.groupBy("year")
-        .pivot("sector", list(categories))
+        .pivot("sector", None if categories is None else list(categories))
         .agg(F.first(clamped))
         .orderBy("year")
     )

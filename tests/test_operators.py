@@ -1,5 +1,7 @@
-"""Edge cases that the driver tables do not have."""
+"""Edge cases that the driver tables do not have, and random data against plain Python."""
 
+import random
+from collections import defaultdict
 from datetime import datetime
 
 import pytest
@@ -145,12 +147,11 @@ def test_limits(spark):
 
 
 def test_default_owners(spark, rows):
-    df = spark.createDataFrame([(o, float(q), 1) for o, q in zip("abcde", (3, 9, 5, 9, 1))], "owner string, emissions_quantity double, source_count int")
-    assert rows(presentation_default(df)) == [("b",), ("d",), ("c",)]
-
-
-def presentation_default(df):
-    return ranking.default_owners(df)
+    totals = zip("abcde", (3.0, 9.0, 5.0, 9.0, 1.0), strict=True)
+    df = spark.createDataFrame(
+        [(o, q, 1) for o, q in totals], "owner string, emissions_quantity double, source_count int"
+    )
+    assert rows(ranking.default_owners(df)) == [("b",), ("d",), ("c",)]
 
 
 # --- owners ---
@@ -349,3 +350,76 @@ def test_coverage(spark, rows):
     found = rows(presentation.year_coverage(presentation.year_domain(spark), df))
     assert len(found) == 12
     assert found[:2] == [(2015, 2), (2016, 0)]
+
+
+# --- random data, a third of it in one facility and subsector ---
+
+
+def random_facilities(rng, n=600):
+    def quantity():
+        return rng.choice([None, float(rng.randint(-3, 9))])
+
+    hot = [facility(7, quantity(), "hot", 2020, rng.choice("ab"), rng.choice([None, 1.0])) for _ in range(n // 3)]
+    rest = [
+        facility(rng.randint(0, 40), quantity(), rng.choice("xyz"), rng.randint(2018, 2021))
+        for _ in range(n - len(hot))
+    ]
+    return hot + rest
+
+
+def null_last(q):
+    return (q is None, 0 if q is None else -q)
+
+
+def null_first(value):
+    return (value is not None, value)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_plain_python(spark, rows, seed):
+    rng = random.Random(seed)
+    records = random_facilities(rng)
+    parents = [
+        (rng.choice([7, rng.randint(0, 30)]), rng.choice([None, "A", "B", "C"]), rng.choice([None, 0.0, 5.0, 50.0]))
+        for _ in range(300)
+    ]
+    groups = defaultdict(list)
+    for r in records:
+        groups[r[:2]].append(r[2:])
+    expected_top = set()
+    for group, members in groups.items():
+        members.sort(key=lambda m: (null_last(m[4]), m[0], m[1], null_first(m[2]), m[3]))
+        expected_top |= {(*group, k, *m) for k, m in enumerate(members[:20], start=1)}
+    owner = {}
+    for source_id, name, share in parents:
+        if name is not None:
+            owner[source_id] = min(owner.get(source_id, (1.0, "")), (-(share or 0.0), name))
+    totals = defaultdict(list)
+    for r in records:
+        if r[2] in owner:
+            totals[owner[r[2]][1], r[1]].append(r[6])
+    expected_owners = {
+        (o, y, sum(q for q in qs if q is not None) if set(qs) != {None} else None, len(qs))
+        for (o, y), qs in totals.items()
+    }
+    for parts in (1, 7):
+        rng.shuffle(records)
+        rng.shuffle(parents)
+        years = spark.createDataFrame(records, FACILITY).repartition(parts)
+        controlling = ownership.controlling_parent(spark.createDataFrame(parents, PARENT).repartition(parts))
+        assert set(rows(ranking.top_sources(years))) == expected_top
+        assert dict(rows(controlling)) == {s: name for s, (_, name) in owner.items()}
+        found = ownership.owner_year(years, controlling)
+        assert set(rows(found)) == expected_owners
+        unowned = ownership.unowned_sources(years, controlling).count()
+        assert ownership.attribute(years, controlling).count() + unowned == len(records)
+
+
+def test_shares_add_up(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame(
+        [(y, f"s{i}", rng.uniform(-5, 10)) for y in range(2015, 2020) for i in range(9)], SECTORS
+    )
+    sums = presentation.sector_share(df).groupBy("year").agg(F.sum("share").alias("s")).collect()
+    assert len(sums) == 5
+    assert all(abs(r["s"] - 1) < 1e-9 for r in sums)
