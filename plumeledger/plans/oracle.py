@@ -222,14 +222,16 @@ def _pivot(columns: tuple[str, ...], column: str, value: str) -> str:
 
 
 def _fixed(value: str, digits: int) -> str:
-    """Decimal text with halves away from zero; the input has at most two decimals."""
-    scaled = f"cast(floor(abs({value}) * {10**digits} + 0.5) as bigint)"
+    """Decimal text of the exact binary value, halves away from zero.
+
+    ``printf`` rounds exactly but halves to even; halves are the odd multiples of 1/2 (no
+    decimals) or 1/4 (one decimal), for which the arithmetic below is exact.
+    """
+    size, unit = f"abs({value})", 2 + 2 * digits
+    half = f"{size} * {unit} = floor({size} * {unit}) and floor({size} * {unit}) % 2 = 1"
+    up = f"floor({size} * {10**digits} + 0.5) / {10**digits}"
     sign = f"case when {value} < 0 then '-' else '' end"
-    if digits == 0:
-        return f"{sign} || cast({scaled} as varchar)"
-    return (
-        f"{sign} || cast({scaled} // 10 as varchar) || '.' || cast({scaled} % 10 as varchar)"
-    )
+    return f"{sign} || printf('%.{digits}f', case when {half} then {up} else {size} end)"
 
 
 _TONNES = f"""

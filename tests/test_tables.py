@@ -110,6 +110,27 @@ def test_upsert(spark, tmp_path, rows):
     assert not [f for f in os.listdir(work_dir(spark)) if "emissions_sources" in f]
 
 
+def test_directory_names(spark, tmp_path, rows):
+    """Values that need escaping, or look like numbers, come back as they were."""
+    root = str(tmp_path)
+    day = datetime(2020, 1, 1)
+    names = ["007", "oil/gas", "a=b", "x y", "1.50", "o'b%20"]
+    for quantity in (1.0, 2.0):
+        write_table(months(spark, [(n, 1, day, quantity) for n in names]), root, "emissions_sources")
+        found = read_table(spark, root, "emissions_sources").select("subsector", "emissions_quantity")
+        assert sorted(rows(found)) == sorted((n, quantity) for n in names)
+
+
+def test_empty_batches(spark, tmp_path, rows):
+    root = str(tmp_path)
+    nothing = months(spark, [])
+    write_table(nothing, root, "emissions_sources")
+    assert rows(read_table(spark, root, "emissions_sources")) == []
+    write_table(months(spark, [("a", 1, datetime(2020, 1, 1), 1.0)]), root, "emissions_sources")
+    write_table(nothing, root, "emissions_sources")
+    assert read_table(spark, root, "emissions_sources").count() == 1
+
+
 def test_order_picks_the_row(spark, tmp_path, rows):
     root = str(tmp_path)
     day = datetime(2020, 1, 1)
