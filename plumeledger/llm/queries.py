@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing
+from . import decontamination, minhash_dedup, packing
+from .oracle import ORACLE as ORACLE
 from .shared import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
+    )
+    covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER, capacity=2048, end_id=1)
     return placed.select(
@@ -20,8 +34,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op8_minhash_dedup": op8_minhash_dedup,
 }
-
-ORACLE: dict[str, str] = {}
