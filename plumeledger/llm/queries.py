@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, minhash_dedup, packing
+from . import decontamination, language_id, minhash_dedup, packing, quality
 from .oracle import ORACLE as ORACLE
 from .shared import table
 
@@ -34,13 +34,33 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda column: quality.fold(column, 3) == 1
+    found = language_id.predict(docs, language_id.train(docs, held_out))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda column: quality.fold(column, 4) == 2
+    net = quality.train(docs, table(spark, sf_dir, "labels"), "quality", held_out)
+    found = quality.score(docs.select("doc_id", "text"), net)
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op7_language_id": op7_language_id,
     "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_quality": op9_quality,
 }
