@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, minhash_dedup, packing, quality
+from . import decontamination, language_id, minhash_dedup, packing, pii, quality
 from .oracle import ORACLE as ORACLE
-from .shared import table
+from .shared import Scratch, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +34,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = Scratch(spark, "pii").stage(pii.annotate(docs).drop("text"))
+    found = pii.spans(found, pii.train(found))
+    of_kind = lambda k: F.size(F.filter("__pii_base", lambda x: x["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of_kind(k).alias(f"n_{kind}") for k, kind in enumerate(pii.BASE)],
+        F.sha2(pii.as_text(F.col("__pii_base")), 256).alias("base_sha256"),
+        pii.as_text(F.col("__pii_spans")).alias("spans"),
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = lambda column: quality.fold(column, 3) == 1
@@ -60,6 +73,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_quality": op9_quality,
