@@ -55,7 +55,27 @@ from doc left join sizes using (doc_id)
 join (select doc_id, min(other) as c from reach group by doc_id) r using (doc_id)
 """
 
+COVER_TREE = """
+with recursive vec as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as materialized (
+  select a.vec_id as a, b.vec_id as b from vec a join vec b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(vec_id, other) as (
+  select vec_id, vec_id from embeddings
+  union
+  select reach.vec_id, links.b from reach join links on links.a = reach.other)
+select e.vec_id, coalesce(n.n, 0)::bigint as n_links, r.c as component_id, e.vec_id = r.c as kept
+from embeddings e
+left join (select a, count(*) as n from links group by a) n on n.a = e.vec_id
+join (select vec_id, min(other) as c from reach group by vec_id) r on r.vec_id = e.vec_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_cover_tree": COVER_TREE,
     "op2_decontamination": DECONTAMINATION,
     "op8_minhash_dedup": MINHASH,
 }

@@ -8,11 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, minhash_dedup, packing, pii, quality
+from . import (
+    decontamination,
+    embedding_dedup,
+    html_extraction,
+    language_id,
+    minhash_dedup,
+    packing,
+    pii,
+    quality,
+    token_counts,
+)
 from .oracle import ORACLE as ORACLE
 from .shared import Scratch, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.links(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +49,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens per line of every document; a token across a line break goes to the line that
+    holds most of it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count(docs, BYTE_RANKS, public_tokenizers.PATTERN, rule="most")
+    return counted.select(
+        "doc_id", "section", "start", "end", F.col("n_tokens").cast("long").alias("n_tokens"), "n_crossing"
+    )
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = Scratch(spark, "pii").stage(pii.annotate(docs).drop("text"))
@@ -71,8 +100,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cover_tree": op1_cover_tree,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op4_token_counts": op4_token_counts,
+    "op5_html_extraction": op5_html_extraction,
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
     "op8_minhash_dedup": op8_minhash_dedup,
