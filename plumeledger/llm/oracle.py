@@ -74,8 +74,38 @@ left join (select a, count(*) as n from links group by a) n on n.a = e.vec_id
 join (select vec_id, min(other) as c from reach group by vec_id) r on r.vec_id = e.vec_id
 """
 
+TOOL_CALLS = r"""
+with t as (
+  select *, 'c' || conv_id || '-t' || turn as id, 'c' || conv_id || '-t' || (turn - 1) as before,
+    'c' || conv_id || '-t' || (turn - 2) as before2,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+  from conversations),
+calls as (select *, case role when 'user' then 'respond' else 'configure' end as name from t where role in ('user', 'system')),
+results as (select conv_id, before as id, turn, text from t where role = 'assistant'),
+needs as (
+  select conv_id, id, before2 as needs from calls where role = 'user' and turn >= 2
+  union all select conv_id, id, before from calls where role = 'user' and turn = 1),
+lost as (select id, count(*) as missing from needs where needs not in (select id from calls) group by id),
+checked as (
+  select c.conv_id, c.id, c.turn, c.name, r.text as result, r.id is not null as answered, coalesce(missing, 0) as missing,
+    concat_ws(',', case when length(c.text) < 1 then 'length of text' end,
+      case when words < case name when 'respond' then 5 else 1 end then 'minimum of words' end,
+      case when name = 'respond' and words > 60 then 'maximum of words' end,
+      case when missing > 0 then 'missing dependency' end) as errors,
+    '{"arguments":{"text":' || to_json(c.text) || ',"turn":' || c.turn || ',"words":' || words || '},"id":' || to_json(c.id)
+      || ',"name":' || to_json(c.name) || coalesce(',"result":' || to_json(r.text), '') || '}' as message
+  from calls c left join results r on r.id = c.id left join lost on lost.id = c.id)
+select conv_id, id as call_id, turn, name, case when answered then 'linked' else 'unanswered' end as status,
+  turn as rank, missing::integer as missing, errors, message::varchar as message
+from checked
+union all
+select conv_id, id, turn, null, 'orphan', turn, 0, 'no call', '{"id":' || to_json(id) || ',"result":' || to_json(text) || '}'
+from results where id not in (select id from calls)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_cover_tree": COVER_TREE,
     "op2_decontamination": DECONTAMINATION,
     "op8_minhash_dedup": MINHASH,
+    "op10_tool_calls": TOOL_CALLS,
 }

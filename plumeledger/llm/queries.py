@@ -18,6 +18,7 @@ from . import (
     pii,
     quality,
     token_counts,
+    tool_calls,
 )
 from .oracle import ORACLE as ORACLE
 from .shared import Scratch, table
@@ -99,6 +100,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.calls_of_turns(table(spark, sf_dir, "conversations"))
+    found = tool_calls.format_calls(calls, results, tool_calls.TURN_SCHEMAS)
+    return found.select(
+        "conv_id", "call_id", "turn", "name", "status", "rank", "missing",
+        F.array_join("errors", ",").alias("errors"), "message",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
     "op2_decontamination": op2_decontamination,
@@ -109,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_quality": op9_quality,
+    "op10_tool_calls": op10_tool_calls,
 }
