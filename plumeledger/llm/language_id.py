@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .textbytes import LOWER, chunks
 
 BUCKETS = 1 << 14
+#: Bytes of text handled at a time; n-grams and their margins take about 150 times as much.
+_CHUNK = 1 << 20
 ORDERS = (1, 2, 3)
 
 #: Letters keep their (small) byte, bytes beyond ASCII stay, everything else is a blank.
@@ -94,7 +96,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, np.ndarray] = {}
     for batch in batches:
         languages = batch.column("lang").to_pylist()
-        for lo, hi, data, offsets in chunks(batch.column("text")):
+        for lo, hi, data, offsets in chunks(batch.column("text"), _CHUNK):
             buckets, bounds = grams(data, offsets)
             names = languages[lo:hi]
             number = {x: i for i, x in enumerate(dict.fromkeys(names))}
@@ -151,7 +153,7 @@ def predict(docs: DataFrame, model: Model, ambiguous_below: float = 0.5) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(model.languages)
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column("text")):
+            for lo, hi, data, offsets in chunks(batch.column("text"), _CHUNK):
                 best, score, close = np.full(hi - lo, -1), np.zeros(hi - lo), np.zeros(hi - lo, bool)
                 if k:
                     buckets, bounds = grams(data, offsets)
