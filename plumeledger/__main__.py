@@ -28,12 +28,12 @@ def main() -> None:
     spark = SparkSession.builder.appName("plumeledger").getOrCreate()
     try:
         if args.command == "load":
-            load(spark, args.csv_root, args.root, args.kinds, args.filter, not args.single_line)
+            load(spark, args.csv_root, args.root, args.kinds, args.filter, False if args.single_line else None)
         else:
             run_analysis(spark, args.root)
             for title, report in reports(spark, args.root).items():
                 print(f"=== {title} ===")
-                report.show(20, truncate=False)
+                report.show(report.count(), truncate=False)
     finally:
         spark.stop()
 

@@ -29,10 +29,12 @@ def upsert(
     A new row replaces the old one whole, null cells included. ``order`` picks among
     incoming rows of one key; without it they must be one per key. Only the incoming rows
     are ranked; the existing ones, usually far more, pass one anti join, for which Spark
-    can broadcast the incoming keys when they are few.
+    can broadcast the incoming keys when they are few. Null keys are equal here as they are
+    in the ranking.
     """
     columns = existing.columns
     fresh = incoming if order is None else latest_by_key(incoming, keys, order)
-    replaced = incoming.select(*keys).distinct()
-    kept = existing.join(replaced, on=list(keys), how="left_anti").select(*columns)
+    replaced = incoming.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+    kept = existing.join(replaced, on=same, how="left_anti").select(*columns)
     return kept.unionByName(fresh.select(*columns))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import stage
 from .keyed import latest_by_key
 from .rollups import QUANTITY
 
+# The columns of the ownership lookup, in the order they are shown.
 OWNERSHIP_SHOWN = (
     "parent_name",
     "parent_entity_type",
@@ -85,9 +87,9 @@ def with_confidence(
 def sources_with_owners(top: DataFrame, ownership: DataFrame) -> DataFrame:
     """Every ranked facility with all its parents; one row with nulls if it has none.
 
-    Written as inner join plus the unmatched rest instead of one left join: the ranking is
-    the small side, and only an inner join lets Spark broadcast it (or split either side),
-    so that the ownership rows, of which one facility may hold very many, need no shuffle.
+    The ranking, a few rows per group, is written once; ownership is scanned once, in an
+    inner join, which lets Spark broadcast the ranking or split either side. The facilities
+    without a parent follow from the written result.
     """
     keys = ["subsector", "source_id"]
     parents = ownership.select(
@@ -96,7 +98,7 @@ def sources_with_owners(top: DataFrame, ownership: DataFrame) -> DataFrame:
         "parent_entity_id",
         *OWNERSHIP_SHOWN,
     )
-    matched = top.join(parents, keys)
-    owned = parents.select(*keys).join(top.select(*keys).distinct(), keys).distinct()
-    alone = top.join(owned, keys, "left_anti")
+    ranked = stage(top, "ranking").rows
+    matched = stage(ranked.join(parents, keys), "owned").rows
+    alone = ranked.join(matched.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.display import served
+from ..sources.workspace import stage
 from .rollups import QUANTITY
 
 # The years on offer, the year not yet complete, the size of a comparison
@@ -136,24 +137,36 @@ def category_index(
     column: str,
     categories: DataFrame | None = None,
     size: int = PALETTE_SIZE,
-    max_categories: int = 10_000,
 ) -> DataFrame:
     """``df`` with ``category_index``: the place of the value among the sorted distinct
     ones, modulo the palette size; 0 for a value that is not among them.
 
-    ``categories`` (default: ``df``) provides the known values. They travel as one array,
-    so their number is checked: more than ``max_categories`` fail the query rather than
-    pile up in one row.
+    ``categories`` (default: ``df``) provides the known values, of which there may be any
+    number: they are range-split and sorted, each range counts its own, and a value's place
+    is its place in its range plus the sizes of the ranges before. Only those sizes, one
+    number per range, are brought together. Rows of ``df`` find their value by a join, which
+    Spark can split where one value is very frequent.
     """
     known = (df if categories is None else categories).select(column)
-    known = known.filter(F.col(column).isNotNull()).distinct().limit(max_categories + 1)
-    places = F.array_sort(F.collect_set(column))
-    too_many = F.raise_error(F.lit(f"more than {max_categories} values in {column}"))
-    values = known.agg(
-        F.when(F.size(places) <= max_categories, places).otherwise(too_many)
-    ).scalar()
-    place = F.coalesce(F.array_position(values, F.col(column)), F.lit(0))
-    return df.withColumn("category_index", (F.greatest(place - 1, F.lit(0)) % size).cast("int"))
+    known = known.filter(F.col(column).isNotNull()).distinct()
+    ranges = known.repartitionByRange(column).sortWithinPartitions(column)
+    id_ = F.monotonically_increasing_id()
+    placed = stage(
+        ranges.select(column, F.shiftright(id_, 33).alias("range"), id_.bitwiseAND((1 << 33) - 1).alias("place")),
+        "categories",
+    ).rows
+    sizes = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect()
+    before, total = [], 0
+    for r in sorted(sizes, key=lambda r: r["range"]):
+        before += [F.lit(r["range"]), F.lit(total)]
+        total += r["n"]
+    start = F.element_at(F.create_map(*before), F.col("range")) if before else F.lit(0)
+    places = placed.select(
+        F.col(column).alias("_value"), ((F.col("place") + start) % size).cast("int").alias("_index")
+    )
+    places = stage(places, "places").rows
+    found = df.join(places, F.col(column) == F.col("_value"), "left")
+    return found.select(*df.columns, F.coalesce("_index", F.lit(0)).alias("category_index"))
 
 
 def year_domain(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.display import served
+from ..schemas import TABLES
 from .rollups import QUANTITY, latest
 
+# Fixed value: the most rows that an owner ranking serves.
 MAX_LIMIT = 200
 
 
@@ -42,21 +46,21 @@ def top_sources(source_years: DataFrame, n: int = 20) -> DataFrame:
     return (
         source_years.withColumn("rank", F.row_number().over(group))
         .filter(F.col("rank") <= n)
-        .select(
-            "subsector", "year", "rank", "source_id", "source_name", "lat", "lon", QUANTITY
-        )
+        .select(*TABLES["analysis_top_sources"].columns)
     )
 
 
 def latest_ranking(
-    df: DataFrame, by: str, n: int, years: DataFrame | None = None
+    df: DataFrame, by: Sequence[str], n: int, years: DataFrame | None = None
 ) -> DataFrame:
-    """The n largest rows of the latest year; ``by`` names the column that breaks ties.
+    """The n largest rows of the latest year; ``by`` names the columns that break ties: all
+    of the key but the year, so that the order is total.
 
     ``years`` may name a cheaper frame with the same years, e.g. the input of a rollup.
     """
     newest = latest(df if years is None else years)
-    return df.filter(F.col("year") == newest).orderBy(largest_first(), F.asc(by)).limit(n)
+    ties = [F.asc(column) for column in by]
+    return df.filter(F.col("year") == newest).orderBy(largest_first(), *ties).limit(n)
 
 
 def top_latest(

@@ -51,11 +51,11 @@ def reports(
     tables = {name: read_table(spark, root, name) for name in ROLLUPS}
     sectors, owners = tables["analysis_sector_year"], tables["analysis_owner_year"]
     return {
-        "national total by year": national_total(sectors).limit(20),
-        "top sectors, latest year": latest_ranking(sectors, "sector", 20),
+        "national total by year": national_total(sectors),
+        "top sectors, latest year": latest_ranking(sectors, ["iso3_country", "sector"], 20),
         f"top {subsector} facilities, latest year": top_latest(
             tables["analysis_top_sources"], subsector
         ),
-        "top owners, latest year": latest_ranking(owners, "owner", 10),
+        "top owners, latest year": latest_ranking(owners, ["owner"], 10),
         "rows written": row_counts(tables),
     }

@@ -6,7 +6,7 @@ and operators independently of the DataFrame code.
 
 from __future__ import annotations
 
-from .queries import HOLDING, ISO, OWNERS, PARTIAL, SECTOR, SECTORS, SOURCE, SUBSECTOR, YEAR
+from .queries import FIRST_QUANTITY, ISO, OWNERS, PARTIAL, SECTOR, SECTORS, SOURCE, SUBSECTOR, YEAR
 
 PRICE = (
     "case l.l_returnflag when 'R' then -l.l_extendedprice "
@@ -178,20 +178,40 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     # Facility files: positive rows in entry a, negative in b, zero in c, which lacks gas.
     "files": (
         ("sources",),
-        """
+        f"""
         select case when emissions_quantity > 0 then 'a' when emissions_quantity < 0 then 'b'
                     else 'c' end || '_emissions_sources_v1.csv' as entry, *
         from sources
+        union all
+        select '_first_emissions_sources_v1.csv', * replace ({FIRST_QUANTITY} as emissions_quantity)
+        from sources
+        """,
+    ),
+    # Facility years, and customers as facilities without owner.
+    "with_customers": (
+        ("source_year",),
+        f"""
+        select * from source_year
+        union all
+        select 'EXTRA', {YEAR}, c_custkey + 1000000, c_name, null, null, c_acctbal from customer
         """,
     ),
+    # The last row of a key: negative rows over positive ones over those of the first file.
     "loaded": (
         ("sources",),
-        """
+        f"""
         select subsector, source_id, start_time,
                '"' || source_name || '",' || chr(10) || 'unit' as source_name,
-               cast(sign(min(emissions_quantity)) as integer) as sign
-        from sources where emissions_quantity <> 0
-        group by subsector, source_id, start_time, source_name
+               emissions_quantity, activity
+        from (select *, row_number() over (partition by subsector, source_id, start_time
+                     order by place desc, emissions_quantity desc, activity desc) as rn
+              from (select subsector, source_id, start_time, source_name, emissions_quantity, activity,
+                           case when emissions_quantity > 0 then 1 else 2 end as place
+                    from sources where emissions_quantity <> 0
+                    union all
+                    select subsector, source_id, start_time, source_name, {FIRST_QUANTITY}, activity, 0
+                    from sources) f) ranked
+        where rn = 1
         """,
     ),
 }
@@ -263,9 +283,9 @@ ORACLE: dict[str, str] = {
         from (select *, row_number() over (partition by subsector, year, source_id
                      order by emissions_quantity desc, source_name, lat, lon) as rn
               from (select subsector, cast(year(start_time) as integer) as year,
-                           cast(lat as bigint) as source_id, source_name, lat, lon,
+                           coalesce(cast(lat as bigint), -1) as source_id, source_name, lat, lon,
                            round(sum(emissions_quantity), 2) as emissions_quantity
-                    from sources where lat is not null group by 1, 2, 3, 4, 5, 6) y) ranked
+                    from sources group by 1, 2, 3, 4, 5, 6) y) ranked
         where rn = 1
         """,
     ),
@@ -277,15 +297,15 @@ ORACLE: dict[str, str] = {
     ),
     "top_sectors_latest": _with(
         ("sector_year", "newest"),
-        f"""
-        select s.* from sector_year s join newest using (year) where iso3_country = '{ISO}'
-        order by emissions_quantity desc nulls last, sector limit 20
+        """
+        select s.* from sector_year s join newest using (year)
+        order by emissions_quantity desc nulls last, iso3_country, sector limit 20
         """,
     ),
     "top_owners_latest": _with(
-        ("owner_year", "newest"),
+        ("owner_year",),
         """
-        select o.* from owner_year o join newest using (year)
+        select o.* from owner_year o where year = (select max(year) from owner_year)
         order by emissions_quantity desc nulls last, owner limit 10
         """,
     ),
@@ -312,27 +332,36 @@ ORACLE: dict[str, str] = {
         "select y.*, c.owner from source_year y join controlling c on y.source_id = c.source_id",
     ),
     "unowned_sources": _with(
-        ("source_year", "holdings"),
-        f"""
-        select * from source_year y
-        where not exists (select 1 from holdings h where h.source_id = y.source_id
-                          and h.overall_share_percent >= {HOLDING} and h.parent_name is not null)
+        ("with_customers", "controlling"),
+        """
+        select * from with_customers y
+        where not exists (select 1 from controlling c where c.source_id = y.source_id)
+        """,
+    ),
+    "with_confidence": _with(
+        ("monthly",),
+        """
+        select m.subsector, m.source_id, m.start_time, m.source_name, m.emissions_quantity, m.activity,
+               case when r.most > 40 then 'high' when r.most > 25 then 'medium' end as activity_confidence
+        from monthly m join (select subsector, source_id, start_time, max(activity) as most
+                             from sources group by subsector, source_id, start_time) r
+             on m.subsector = r.subsector and m.source_id = r.source_id and m.start_time = r.start_time
         """,
     ),
-    "with_confidence": """
-        select d.doc_id, d.lang, d.n_chars, l.quality as quality_confidence,
-               l.toxic as toxic_confidence
-        from documents d left join labels l on d.doc_id = l.doc_id
-    """,
     "sources_with_owners": _with(
-        ("top", "ownership"),
-        f"""
+        ("with_customers", "ownership"),
+        """
         select t.*, o.parent_entity_id, o.parent_name, o.parent_entity_type,
                o.parent_registration_country, o.overall_share_percent, o.immediate_source_owner,
                o.ownership_path
-        from top t left join (select * from ownership
-                              where overall_share_percent >= {HOLDING} / 2.0) o
-             on t.subsector = o.source_subsector and t.source_id = o.source_id
+        from (select subsector, year, cast(rn as integer) as rank, source_id, source_name, lat, lon,
+                     emissions_quantity
+              from (select *, row_number() over (partition by subsector, year
+                           order by emissions_quantity desc nulls last, source_id, source_name,
+                                    lat nulls first, lon nulls first) as rn
+                    from with_customers) ranked
+              where rn <= 20) t
+        left join ownership o on t.subsector = o.source_subsector and t.source_id = o.source_id
         """,
     ),
     "list_sectors": _with(
@@ -641,10 +670,10 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "reject_counts": _with(
-        ("sources",),
+        ("files",),
         """
-        select 'good' as table_name, count(*) as row_count from sources where emissions_quantity <> 0
-        union all select 'rejects', count(*) from sources where emissions_quantity = 0
+        select 'good' as table_name, count(*) as row_count from files where emissions_quantity <> 0
+        union all select 'rejects', count(*) from files where emissions_quantity = 0
         """,
     ),
     "ingest_country": _with(
@@ -671,13 +700,107 @@ ORACLE: dict[str, str] = {
         from ownership
         """,
     ),
+    # Of the kinds only facility files exist; rows without gas are rejected.
     "csv_load_report": _with(
         ("files",),
         """
-        select 'emissions_sources' as kind, entry, count(*) as rows, 1 as files
-        from files group by entry
-        union all select 'emissions_sources', null, count(*), count(distinct entry) from files
-        union all select null, null, count(*), count(distinct entry) from files
+        select * from (
+          select 'emissions_sources' as kind, entry, count(*) filter (emissions_quantity <> 0) as rows,
+                 count(*) filter (emissions_quantity = 0) as rejected, 1 as files
+          from files group by entry
+          union all select 'emissions_sources', null, count(*) filter (emissions_quantity <> 0),
+                 count(*) filter (emissions_quantity = 0), count(distinct entry) from files
+          union all select null, null, count(*) filter (emissions_quantity <> 0),
+                 count(*) filter (emissions_quantity = 0), count(distinct entry) from files) r
+        """,
+    ),
+    "csv_kinds": _with(
+        ("files",),
+        """
+        select 'emissions_sources' as table_name, count(*) as row_count from files where entry[1] = 'b'
+        union all select 'ownership', 0
+        """,
+    ),
+    "csv_rejects_rerun": _with(
+        ("files",),
+        """
+        select entry, 'missing column(s): gas' as reason, count(*) as rows
+        from files where emissions_quantity = 0 group by entry
+        """,
+    ),
+    "category_index_many": """
+        select k.key, cast(coalesce((u.place - 1) % 10, 0) as integer) as category_index
+        from (select cast(o_orderkey as varchar) as key from orders) k
+             left join (select key, row_number() over (order by key) as place
+                        from (select distinct cast(o_orderkey as varchar) as key from orders
+                              where o_orderstatus <> 'F') d) u on k.key = u.key
+    """,
+    "reload_many_directories": _with(
+        ("monthly",),
+        """
+        select subsector || '/' || coalesce(cast(cast(lat as integer) as varchar), 'none') as subsector,
+               source_id, start_time,
+               case when emissions_quantity > 0 then 2 else 1 end * emissions_quantity as emissions_quantity,
+               activity
+        from monthly
+        """,
+    ),
+    "refresh_shrinks": _with(("top",), "select * from top where rank <= 5"),
+    "stored_list_sectors": _with(
+        ("country",), f"select distinct sector from country where iso3_country = '{ISO}'"
+    ),
+    "stored_top_owners": _with(
+        ("monthly_owner",),
+        f"""
+        select owner, emissions_quantity, source_count from monthly_owner where year = {YEAR}
+        order by emissions_quantity desc, owner limit 25
+        """,
+    ),
+    "stored_owner_trend": _with(
+        ("monthly_owner",),
+        f"""
+        select year, emissions_quantity, source_count from monthly_owner where owner = '{OWNERS[0]}'
+        """,
+    ),
+    "stored_sector_timeseries": _with(("timeseries",), "select * from timeseries"),
+    "stored_sector_subsectors": _with(
+        ("country",),
+        f"""
+        select subsector, year, emissions_quantity from country
+        where iso3_country = '{ISO}' and sector = '{SECTOR}'
+        """,
+    ),
+    "stored_top_of": _with(
+        ("monthly_year",),
+        f"""
+        select cast(rn as integer) as rank, source_id, source_name, lat, lon,
+               round(emissions_quantity, 2) as emissions_quantity
+        from (select *, row_number() over (order by round(emissions_quantity, 6) desc, source_id) as rn
+              from monthly_year where subsector = '{SUBSECTOR}' and year = {YEAR}) ranked
+        where rn <= 20
+        """,
+    ),
+    "stored_points_of": _with(
+        ("monthly_year",),
+        f"""
+        select source_id, source_name, lat, lon, round(emissions_quantity, 2) as emissions_quantity
+        from monthly_year where subsector = '{SUBSECTOR}' and year = {YEAR}
+        """,
+    ),
+    "stored_ownership_of": _with(
+        ("ownership",),
+        f"""
+        select parent_name, parent_entity_type, parent_registration_country,
+               overall_share_percent, immediate_source_owner, ownership_path
+        from ownership where source_subsector = '{SUBSECTOR}' and source_id = {SOURCE}
+        """,
+    ),
+    "stored_facility_months": _with(
+        ("monthly",),
+        f"""
+        select start_time, emissions_quantity, activity, cast(null as double) as capacity
+        from monthly where subsector = '{SUBSECTOR}' and source_id = {SOURCE}
+        order by start_time limit 12
         """,
     ),
     "csv_to_table": _with(("loaded",), "select * from loaded"),

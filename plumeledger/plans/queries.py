@@ -15,10 +15,11 @@ from ..functions import convert, display
 from ..operators import lookups, ownership, presentation, ranking, rollups
 from ..operators.keyed import latest_by_key, upsert
 from ..operators.rollups import QUANTITY
+from ..schemas import conform_result
 from ..sources.csv_files import REJECT
-from ..sources.ingest import KINDS, ingest, load_report, split_rejects, store
+from ..sources.ingest import KINDS, ingest, listing, load, load_report, split_rejects
 from ..sources.tables import read_table, write_table
-from ..sources.workspace import scratch_path, written
+from ..sources.workspace import file_system, scratch_path
 from ..streaming.incremental import ingest_stream
 from . import standins
 from .analysis import ROLLUPS, run_analysis
@@ -33,8 +34,8 @@ YEAR = 1998
 PARTIAL = 2001
 SOURCE = 7
 OWNERS = ("Customer#000000087", "Customer#000000269", "Customer#000000045")
+FIRST_QUANTITY = 1e9
 SECTORS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-HOLDING = 120
 
 QUERIES: dict[str, Query] = {}
 
@@ -94,10 +95,11 @@ def source_year_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_year_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facilities placed by nation instead of supplier, so that a key has many variants."""
-    sources = standins.sources(spark, sf_dir).withColumn("source_id", F.col("lat").cast("bigint"))
-    variants = rounded(rollups.source_year(sources.filter(F.col("source_id").isNotNull())))
-    return rollups.source_year_by_key(variants)
+    """Facilities placed by nation instead of supplier, so that a key has many variants; -1 is
+    the place of those without position."""
+    nation = F.coalesce(F.col("lat").cast("bigint"), F.lit(-1))
+    sources = standins.sources(spark, sf_dir).withColumn("source_id", nation)
+    return rollups.source_year_by_key(rounded(rollups.source_year(sources)))
 
 
 @query
@@ -119,15 +121,15 @@ def latest_year_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_sectors_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sectors = _sector_years(spark, sf_dir).filter(F.col("iso3_country") == ISO)
-    return ranking.latest_ranking(sectors, "sector", 20, years=_ship_years(spark, sf_dir))
+    return ranking.latest_ranking(
+        _sector_years(spark, sf_dir), ["iso3_country", "sector"], 20, years=_ship_years(spark, sf_dir)
+    )
 
 
 @query
 def top_owners_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.latest_ranking(
-        _owner_years(spark, sf_dir), "owner", 10, years=_ship_years(spark, sf_dir)
-    )
+    """In the latest year in which any facility has an owner."""
+    return ranking.latest_ranking(_owner_years(spark, sf_dir), ["owner"], 10)
 
 
 @query
@@ -167,28 +169,45 @@ def owner_attribution_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.attribute(_source_years(spark, sf_dir), _controlling(spark, sf_dir))
 
 
+def _with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facility years, and customers as further facilities, which nobody owns."""
+    customers = driver_table(spark, sf_dir, "customer").select(
+        F.lit("EXTRA").alias("subsector"),
+        F.lit(YEAR).alias("year"),
+        (F.col("c_custkey") + 1_000_000).alias("source_id"),
+        F.col("c_name").alias("source_name"),
+        F.lit(None).cast("double").alias("lat"),
+        F.lit(None).cast("double").alias("lon"),
+        F.col("c_acctbal").alias(QUANTITY),
+    )
+    return _source_years(spark, sf_dir).unionByName(customers)
+
+
 @query
 def unowned_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only holdings of a certain size count here, which leaves facilities without owner."""
-    large = standins.facility_ownership(spark, sf_dir).filter(
-        F.col("overall_share_percent") >= HOLDING
-    )
-    return ownership.unowned_sources(
-        _source_years(spark, sf_dir), ownership.controlling_parent(large)
-    )
+    return ownership.unowned_sources(_with_customers(spark, sf_dir), _controlling(spark, sf_dir))
 
 
 @query
 def with_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = driver_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    labels = driver_table(spark, sf_dir, "labels")
-    return ownership.with_confidence(documents, labels, keys=("doc_id",))
+    """Ratings exist for the months in which more than half of the possible quantity moved."""
+    months = _months(spark, sf_dir)
+    keys = ("subsector", "source_id", "start_time")
+    ratings = (
+        standins.sources(spark, sf_dir)
+        .groupBy(*keys)
+        .agg(F.max("activity").alias("most"))
+        .select(*keys, F.when(F.col("most") > 40, "high").when(F.col("most") > 25, "medium").alias("activity"))
+        .where("activity is not null")
+    )
+    rated = ownership.with_confidence(months, ratings, keys)
+    return rated.select(*keys, "source_name", QUANTITY, "activity", "activity_confidence")
 
 
 @query
 def sources_with_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = standins.ownership(spark, sf_dir).filter(F.col("overall_share_percent") >= HOLDING / 2)
-    return ownership.sources_with_owners(_top(spark, sf_dir), large)
+    top = ranking.top_sources(_with_customers(spark, sf_dir))
+    return ownership.sources_with_owners(top, standins.ownership(spark, sf_dir))
 
 
 # --- lookups -----------------------------------------------------------------
@@ -425,6 +444,14 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentation.category_index(nation.select("n_name"), "n_name", used)
 
 
+@query
+def category_index_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys as text among those of orders not yet filled: very many values."""
+    orders = driver_table(spark, sf_dir, "orders")
+    keys = orders.select(F.col("o_orderkey").cast("string").alias("key"), "o_orderstatus")
+    return presentation.category_index(keys, "key", keys.where("o_orderstatus <> 'F'")).drop("o_orderstatus")
+
+
 @query
 def display_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = driver_table(spark, sf_dir, "supplier")
@@ -606,8 +633,44 @@ def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("subsector", "source_id", "start_time", "source_name", QUANTITY, "activity")
 
 
+@query
+def reload_many_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of very many directories, written whole and once more with the positive rows
+    changed."""
+    root = scratch_path(spark, "tables")
+    place = F.coalesce(F.col("lat").cast("int").cast("string"), F.lit("none"))
+    rows = _months(spark, sf_dir).withColumn("subsector", F.concat_ws("/", "subsector", place))
+    rows = as_table(rows, "emissions_sources")
+    write_table(rows, root, "emissions_sources")
+    changed = rows.filter(F.col(QUANTITY) > 0).withColumn(QUANTITY, F.col(QUANTITY) * 2)
+    write_table(changed, root, "emissions_sources")
+    stored = read_table(spark, root, "emissions_sources")
+    return stored.select("subsector", "source_id", "start_time", QUANTITY, "activity")
+
+
+@query
+def refresh_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ranking of twenty, then of five: nothing of the first is left."""
+    root = scratch_path(spark, "tables")
+    years = _source_years(spark, sf_dir)
+    for n in (20, 5):
+        write_table(ranking.top_sources(years, n), root, "analysis_top_sources", mode="refresh")
+    return read_table(spark, root, "analysis_top_sources")
+
+
+#: Tables that a session has analysed already: (application, folder) -> root.
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def _analysed(spark: SparkSession, sf_dir: str) -> str:
-    """The root of a set of tables, base and rollup, made by the batch job."""
+    """The root of a set of tables, base and rollup, made once a session by the batch job."""
+    held = (spark.sparkContext.applicationId, sf_dir)
+    if held not in _ROOTS:
+        _ROOTS[held] = _analyse(spark, sf_dir)
+    return _ROOTS[held]
+
+
+def _analyse(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "tables")
     write_table(as_table(standins.country(spark, sf_dir), "country_emissions"), root, "country_emissions")
     write_table(_monthly(spark, sf_dir), root, "emissions_sources")
@@ -629,6 +692,65 @@ def analysis_owner_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_table(spark, root, "analysis_owner_trend"))
 
 
+# --- lookups on stored tables ------------------------------------------------
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, _analysed(spark, sf_dir), name)
+
+
+@query
+def stored_list_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.list_sectors(_table(spark, sf_dir, "country_emissions"), ISO)
+
+
+@query
+def stored_top_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranking.top_owners(_table(spark, sf_dir, "analysis_owner_year"), YEAR)
+    return rounded(conform_result(found, "owner_row"))
+
+
+@query
+def stored_owner_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.owner_trend(_table(spark, sf_dir, "analysis_owner_trend"), OWNERS[0])
+    return rounded(conform_result(found, "owner_trend_point"))
+
+
+@query
+def stored_sector_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.sector_timeseries(_table(spark, sf_dir, "analysis_sector_year"), ISO)
+    return rounded(conform_result(found, "sector_total"))
+
+
+@query
+def stored_sector_subsectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.sector_subsectors(_table(spark, sf_dir, "country_emissions"), SECTOR, ISO)
+    return conform_result(found, "subsector_row")
+
+
+@query
+def stored_top_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.top_of(_table(spark, sf_dir, "analysis_top_sources"), SUBSECTOR, YEAR)
+    return rounded(conform_result(found, "top_source"))
+
+
+@query
+def stored_points_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.points_of(_table(spark, sf_dir, "analysis_source_year"), SUBSECTOR, YEAR)
+    return rounded(conform_result(found, "source_point"))
+
+
+@query
+def stored_ownership_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookups.ownership_of(_table(spark, sf_dir, "emissions_sources_ownership"), SUBSECTOR, SOURCE)
+    return conform_result(found, "ownership_row")
+
+
+@query
+def stored_facility_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.facility_months(_table(spark, sf_dir, "emissions_sources"), SUBSECTOR, SOURCE)
+
+
 # --- CSV files ---------------------------------------------------------------
 
 
@@ -644,35 +766,46 @@ def _write_csv(df: DataFrame, entry: str) -> None:
 def _source_files(spark: SparkSession, sf_dir: str) -> str:
     """Facility files with three headers: in order, in reverse, and one without gas.
 
-    Names have quotes and a line break; ids are written as floats; one extra pair.
+    Names have quotes and a line break; ids are written as floats; one extra pair. Rows
+    stand in order of key and quantity, so that the last row of a key is known. One more
+    file, whose name begins with an underscore and whose path comes first, has all rows with
+    one large quantity; the positive rows have files that are a month old.
     """
     root = scratch_path(spark, "csv")
-    rows = _csv_text(as_table(standins.sources(spark, sf_dir), "emissions_sources").drop("other"))
-    name = F.concat(F.lit('"'), F.col("source_name"), F.lit('",\nunit'))
-    rows = rows.withColumns(
-        {
-            "source_id": F.concat("source_id", F.lit(".0")),
-            "source_name": name,
-            "other1": F.col("activity"),
-            "other1_def": F.lit("load"),
-        }
-    )
-    quantity = F.col(QUANTITY).cast("double")
-    kinds = {"a": quantity > 0, "b": quantity < 0, "c": quantity == 0}
-    columns = {
-        "a": rows.columns,
-        "b": rows.columns[::-1],
-        "c": [c for c in rows.columns if c != "gas"],
-    }
-    for label, chosen in kinds.items():
-        entry = f"{root}/trade/{label}{KINDS['emissions_sources'].pattern}1.csv"
-        _write_csv(rows.filter(chosen).select(*columns[label]), entry)
+    rows = as_table(standins.sources(spark, sf_dir), "emissions_sources").drop("other")
+    ordered = ["subsector", "source_id", "start_time", QUANTITY, "activity"]
+
+    def text(df: DataFrame) -> DataFrame:
+        name = F.concat(F.lit('"'), F.col("source_name"), F.lit('",\nunit'))
+        return _csv_text(df.orderBy(*ordered)).withColumns(
+            {
+                "source_id": F.concat("source_id", F.lit(".0")),
+                "source_name": name,
+                "other1": F.col("activity"),
+                "other1_def": F.lit("load"),
+            }
+        )
+
+    pattern = KINDS["emissions_sources"].pattern
+    quantity = F.col(QUANTITY)
+    for label, chosen in {"a": quantity > 0, "b": quantity < 0, "c": quantity == 0}.items():
+        part = text(rows.filter(chosen))
+        columns = {"a": part.columns, "b": part.columns[::-1], "c": [c for c in part.columns if c != "gas"]}
+        _write_csv(part.select(*columns[label]), f"{root}/trade/{label}{pattern}1.csv")
+    whole = text(rows.withColumn(QUANTITY, F.lit(FIRST_QUANTITY)))
+    _write_csv(whole.coalesce(1), f"{root}/whole")
+    written_part, files = file_system(spark, f"{root}/whole/part-*")
+    only = files.globStatus(written_part)[0].getPath()
+    files.rename(only, file_system(spark, f"{root}/trade/_first{pattern}1.csv")[0])
+    aged, _ = file_system(spark, f"{root}/trade/a{pattern}1.csv/part-*")
+    for status in files.globStatus(aged):
+        files.setTimes(status.getPath(), status.getModificationTime() - 30 * 86_400_000, -1)
     return root
 
 
 def _entry(column: str = "_file") -> Column:
-    """The folder entry that a part file belongs to."""
-    return F.regexp_extract(column, "([^/]+)/[^/]+$", 1)
+    """The entry of the sector folder that a file is or belongs to."""
+    return F.regexp_extract(column, "/trade/([^/]+)", 1)
 
 
 @query
@@ -746,24 +879,40 @@ def ingest_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = ingest(spark, _source_files(spark, sf_dir))
-    by_entry = {kind: rows.withColumn("_file", _entry()) for kind, rows in frames.items()}
-    return load_report(by_entry).withColumnRenamed("_file", "entry")
+    root = _source_files(spark, sf_dir)
+    by_entry = {kind: rows.withColumn("_file", _entry()) for kind, rows in ingest(spark, root).items()}
+    names = {kind: sorted({p.split("/trade/")[1].split("/")[0] for p in paths}) for kind, paths in listing(spark, root).items()}
+    return load_report(by_entry, names).withColumnRenamed("_file", "entry")
+
+
+@query
+def csv_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds by list, one of them unknown, and only files whose path names an entry."""
+    frames = ingest(spark, _source_files(spark, sf_dir), "ownership, emissions_sources, nonsense", "/trade/b_")
+    return rollups.row_counts(frames)
+
+
+@query
+def csv_rejects_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a set of files that is loaded twice: they are listed once."""
+    root, csv_root = scratch_path(spark, "tables"), _source_files(spark, sf_dir)
+    for _ in range(2):
+        load(spark, csv_root, root, "emissions_sources")
+    rejects = spark.read.parquet(f"{root}/_rejects/emissions_sources")
+    return rejects.groupBy(_entry().alias("entry"), F.col(REJECT).alias("reason")).agg(F.count("*").alias("rows"))
 
 
 @query
 def csv_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to table by the batch loader; the last file wins a key."""
     root = scratch_path(spark, "tables")
-    rows = ingest(spark, _source_files(spark, sf_dir), "emissions_sources")["emissions_sources"]
-    with written(rows, "load") as stage:
-        store(stage.rows, root, "emissions_sources")
+    load(spark, _source_files(spark, sf_dir), root, "emissions_sources")
     return _loaded(spark, root)
 
 
 @query
 def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by the streaming loader, all files in one run."""
+    """The same by the streaming loader, in several batches."""
     root = scratch_path(spark, "tables")
     running = ingest_stream(
         spark,
@@ -771,13 +920,12 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "emissions_sources",
         root,
         scratch_path(spark, "stream"),
+        max_files=7,
     )
     running.awaitTermination()
     return _loaded(spark, root)
 
 
 def _loaded(spark: SparkSession, root: str) -> DataFrame:
-    """What does not depend on the order of rows within a file."""
     stored = read_table(spark, root, "emissions_sources")
-    sign = F.signum(QUANTITY).cast("int")
-    return stored.select("subsector", "source_id", "start_time", "source_name", sign.alias("sign"))
+    return stored.select("subsector", "source_id", "start_time", "source_name", QUANTITY, "activity")

@@ -1,4 +1,4 @@
-"""Scratch data in the folder that the cluster shares."""
+"""Scratch data in the folder that the cluster shares, and files next to the data."""
 
 from __future__ import annotations
 
@@ -25,6 +25,12 @@ class Written:
         return files.agg(F.sum("length")).first()[0] or 0
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -41,24 +47,38 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new name in the work folder; what is written there goes when the session ends."""
+    name = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path, files = file_system(spark, name)
+    files.mkdirs(path.getParent())
+    # Only paths that exist can be marked, so the mark is set on an empty folder.
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return name
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = file_system(spark, path)
+    files.delete(target, True)
+
+
+def stage(df: DataFrame, label: str) -> Written:
+    """``df`` as a scratch table that stays until the session ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return Written(spark.read.schema(df.schema).parquet(path), path)
 
 
 @contextmanager
 def written(df: DataFrame, label: str) -> Iterator[Written]:
-    """``df`` as a scratch Parquet table for the length of the block.
+    """``df`` as a scratch table for the length of the block, removed also after an error.
 
     For a result that several jobs read: it is computed once, later jobs read only the
-    columns they need, and a lost executor costs no recomputation. After an error the
-    table is left where it is.
+    columns they need, and a lost executor costs no recomputation.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    yield Written(spark.read.schema(df.schema).parquet(path), path)
-    remove(spark, path)
+    staged = stage(df, label)
+    try:
+        yield staged
+    finally:
+        remove(df.sparkSession, staged.path)

@@ -1,6 +1,7 @@
 import math
 import random
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,43 +125,75 @@ def test_text_and_year(spark):
     )
 
 
-def python_double(text):
+def written_number(rng):
+    """(text, value) of a number that is known before it is written."""
+    kind = rng.randrange(6)
+    if kind == 0:
+        value = rng.choice([math.nan, math.inf, -math.inf])
+        word = {"nan": ["nan", "NaN", "NAN"], "inf": ["inf", "Infinity", "+inf"], "-inf": ["-inf", "-Infinity"]}
+        return rng.choice(word[repr(value)]), value
+    digits, scale, sign = rng.randint(0, 10**6), rng.randint(0, 5), rng.choice([1, -1])
+    value = sign * float(Fraction(digits, 10**scale))
+    whole, part = divmod(digits, 10**scale)
+    if kind == 1 and not part:
+        body = f"{whole:_}"
+    elif kind == 2:
+        body = f"{digits}{rng.choice('eE')}-{scale}"
+    elif scale:
+        body = f"{whole}.{part:0{scale}d}"
+    else:
+        body = f"{whole}{rng.choice(['', '.', '.0'])}"
+    text = ("-" if sign < 0 else rng.choice(["", "+"])) + body
+    return rng.choice(["", " ", "\t"]) + text + rng.choice(["", " "]), value
+
+
+def spoiled(rng, text):
+    """A text that is no number, made from one that is finite."""
+    spoil = [text + "d", "x" + text, text.replace(".", ",") + ",", text + " 1", "_" + text.strip(), text.strip() + "_"]
+    return rng.choice(spoil)
+
+
+def test_numbers_known_beforehand(spark):
+    rng = random.Random(7)
+    cases = [written_number(rng) for _ in range(3000)]
+    found = converted(spark, parse_double, [text for text, _ in cases])
+    for (text, value), got in zip(cases, found, strict=True):
+        assert repr(got + 0.0) == repr(value + 0.0), text
+    finite = [text for text, value in cases if math.isfinite(value)]
+    for text, got in zip(finite, converted(spark, parse_double, [spoiled(rng, t) for t in finite]), strict=True):
+        assert got is None, text
+
+
+def written_time(rng):
+    """(text, moment) from numbers; the calendar decides whether they are a moment at all."""
+    year, month, day = rng.choice([2015, 2016, 1999]), rng.randint(1, 13), rng.randint(1, 32)
+    hour, minute, second = rng.randint(0, 25), rng.randint(0, 61), rng.randint(0, 61)
+    form, micros, digits = rng.randrange(3), 0, 0
+    wide = rng.random() < 0.5
+    date = f"{year}-{month:02d}-{day:02d}" if wide else f"{year}-{month}-{day}"
+    clock = f"{hour:02d}:{minute:02d}:{second:02d}" if wide else f"{hour}:{minute}:{second}"
+    if form == 0:
+        hour = minute = second = 0
+        text = date
+    else:
+        text = date + " " * rng.randint(1, 2) + clock
+    if form == 2:
+        digits = rng.randint(1, 7)
+        fraction = rng.randrange(10**digits)
+        micros = fraction * 10 ** (6 - digits) if digits <= 6 else 0
+        text += f".{fraction:0{digits}d}"
     try:
-        return float(text)
+        moment = datetime(year, month, day, hour, minute, second, micros)
     except ValueError:
-        return None
-
-
-def python_ts(text):
-    for pattern in ("%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d"):
-        try:
-            return datetime.strptime(text.strip(), pattern)
-        except ValueError:
-            continue
-    return None
-
+        moment = None
+    return rng.choice(["", " "]) + text + rng.choice(["", "\t"]), None if digits > 6 else moment
 
-def number_like(rng):
-    pieces = ["+", "-", "_", ".", "e", "E", " ", "nan", "NaN", "inf", "infinity", "d", *"0123456789"]
-    return "".join(rng.choices(pieces, k=rng.randint(1, 6)))
 
-
-def time_like(rng):
-    day = f"{rng.choice(['2015', '2016', '0000', '15'])}-{rng.randint(0, 13)}-{rng.randint(0, 32):02d}"
-    clock = f"{rng.randint(0, 25)}:{rng.randint(0, 61):02d}:{rng.randint(0, 61)}"
-    fraction = "." + "".join(rng.choices("0123456789", k=rng.randint(0, 7)))
-    text = rng.choice([day, f"{day} {clock}", f"{day}  {clock}{fraction}", f"{day} {clock}Z"])
-    return rng.choice(["", " ", "\t"]) + text + rng.choice(["", " "])
-
-
-def test_like_python(spark):
-    rng = random.Random(7)
-    numbers = [number_like(rng) for _ in range(4000)]
-    for text, value in zip(numbers, converted(spark, parse_double, numbers), strict=True):
-        assert repr(value) == repr(python_double(text)), text
-    times = [time_like(rng) for _ in range(4000)]
-    for text, value in zip(times, converted(spark, parse_ts, times), strict=True):
-        assert value == python_ts(text), text
+def test_times_known_beforehand(spark):
+    rng = random.Random(11)
+    cases = [written_time(rng) for _ in range(4000)]
+    for (text, moment), got in zip(cases, converted(spark, parse_ts, [t for t, _ in cases]), strict=True):
+        assert got == moment, text
 
 
 @pytest.mark.parametrize(

@@ -1,6 +1,7 @@
 """CSV file sets: discovery, headers, dialect, rejects, loading and streaming."""
 
 import csv
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from plumeledger.sources.csv_files import REJECT, discover, headers, read_named_
 from plumeledger.sources.ingest import (
     KINDS,
     ingest,
+    listing,
     load,
     load_report,
     map_ownership,
@@ -180,19 +182,65 @@ def test_split_files_keep_row_order(spark, tmp_path, rows):
     assert rows(table.select("emissions_quantity"), sort=True) == [(float(q),) for q in range(2990, 3000)]
 
 
-def test_report(spark, csv_root):
-    report = load_report(ingest(spark, csv_root)).collect()
-    found = [(r["kind"], r["_file"] and r["_file"].rsplit("/", 1)[1][:1], r["rows"], r["files"]) for r in report]
+def test_report(spark, tmp_path, csv_root):
+    write_kind(tmp_path / "csv/power/d_emissions_sources_v1.csv", "emissions_sources", [SOURCE], drop=["gas"])
+    (tmp_path / "csv/power/e_emissions_sources_v1.csv").write_text("")
+    report = load_report(ingest(spark, csv_root), listing(spark, csv_root)).collect()
+    found = [
+        (r["kind"], r["_file"] and r["_file"].rsplit("/", 1)[1][:1], r["rows"], r["rejected"], r["files"])
+        for r in report
+    ]
     assert found == [
-        ("confidence", "a", 1, 1),
-        ("confidence", None, 1, 1),
-        ("emissions_sources", "a", 51, 1),
-        ("emissions_sources", "b", 3, 1),
-        ("emissions_sources", None, 54, 2),
-        (None, None, 55, 3),
+        ("confidence", "a", 1, 0, 1),
+        ("confidence", None, 1, 0, 1),
+        ("emissions_sources", "a", 51, 0, 1),
+        ("emissions_sources", "b", 2, 1, 1),
+        ("emissions_sources", "d", 0, 1, 1),
+        ("emissions_sources", "e", 0, 0, 1),
+        ("emissions_sources", None, 53, 2, 4),
+        (None, None, 54, 2, 5),
     ]
 
 
+def test_rejects_are_listed_once(spark, tmp_path, rows, csv_root):
+    root = str(tmp_path / "tables")
+    for _ in range(2):
+        load(spark, csv_root, root, "emissions_sources")
+        check_sources(spark, rows, root)
+    # The file is mended: its rejects go, those of others stay.
+    write_kind(tmp_path / "csv/power/b_emissions_sources_v1.csv", "emissions_sources", [SOURCE])
+    write_kind(tmp_path / "csv/power/d_emissions_sources_v1.csv", "emissions_sources", [SOURCE], drop=["gas"])
+    load(spark, csv_root, root, "emissions_sources")
+    rejects = spark.read.parquet(f"{root}/_rejects/emissions_sources")
+    assert rows(rejects.select(REJECT)) == [("missing column(s): gas",)]
+
+
+def test_every_name_is_found(spark, tmp_path, rows):
+    """Names that Spark hides, and paths whose encoded form sorts differently."""
+    names = ["_country_emissions_v1.csv", "a b_country_emissions_v1.csv", "a!_country_emissions_v1.csv", "a%20c_country_emissions_v1.csv"]
+    for i, name in enumerate(names):
+        write_kind(tmp_path / "csv/p" / name, "country_emissions", [COUNTRY | {"emissions_quantity": str(i)}])
+    root = str(tmp_path / "csv")
+    listed = listing(spark, root, "country_emissions")["country_emissions"]
+    assert sorted(p.rsplit("/", 1)[1] for p in listed) == sorted(names)
+    loaded = ingest(spark, root, "country_emissions")["country_emissions"]
+    assert [r["_file"] for r in loaded.select("_file").orderBy("_file").collect()] == listed
+    load(spark, root, str(tmp_path / "t"), "country_emissions")
+    last = float(names.index(sorted(names)[-1]))
+    assert rows(read_table(spark, str(tmp_path / "t"), "country_emissions").select("emissions_quantity")) == [(last,)]
+
+
+def test_headers_run_no_job(spark, tmp_path):
+    for i in range(30):
+        write(tmp_path / f"{i}.csv", ["k", f'a "quoted"\nname {i % 2}'], [["x", "1"]])
+    paths = [str(tmp_path / f"{i}.csv") for i in range(30)]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = headers(spark, paths)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("headers") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {names: len(files) for names, files in found.items()} == {("k", f'a "quoted"\nname {k}'): 15 for k in (0, 1)}
+
+
 def test_stream(spark, tmp_path, rows, csv_root):
     root, checkpoint = str(tmp_path / "tables"), str(tmp_path / "checkpoint")
 
@@ -208,3 +256,25 @@ def test_stream(spark, tmp_path, rows, csv_root):
     table = read_table(spark, root, "emissions_sources")
     assert table.count() == 51
     assert table.filter(F.col("source_id") == 8).first()["emissions_quantity"] == 80.0
+
+
+def test_stream_takes_old_and_hidden_files(spark, tmp_path, rows):
+    """Whatever a file's age or name, and with the winners of a batch load."""
+    for i, name in enumerate(["_x", "a", "b", "c"]):
+        one = [SOURCE | {"emissions_quantity": str(i)}, SOURCE | {"source_id": str(10 + i)}]
+        write_kind(tmp_path / f"csv/p/{name}_emissions_sources_v1.csv", "emissions_sources", one)
+    new = tmp_path / "csv/p/a_emissions_sources_v1.csv"
+    os.utime(new, (new.stat().st_mtime + 1000, new.stat().st_mtime + 1000))
+    csv_root, root = str(tmp_path / "csv"), str(tmp_path / "t")
+    checkpoint = str(tmp_path / "c")
+    assert ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint, max_files=1).awaitTermination(240)
+    load(spark, csv_root, str(tmp_path / "batch"), "emissions_sources")
+    columns = ["source_id", "emissions_quantity"]
+    streamed = rows(read_table(spark, root, "emissions_sources").select(*columns), sort=True)
+    assert streamed == rows(read_table(spark, str(tmp_path / "batch"), "emissions_sources").select(*columns), sort=True)
+    assert len(streamed) == 5 and (7, 3.0) in streamed
+    late = tmp_path / "csv/p/late_emissions_sources_v1.csv"
+    write_kind(late, "emissions_sources", [SOURCE | {"source_id": "50"}])
+    os.utime(late, (1_000_000, 1_000_000))
+    assert ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint).awaitTermination(240)
+    assert read_table(spark, root, "emissions_sources").count() == 6

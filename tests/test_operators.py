@@ -93,17 +93,33 @@ def test_rollups_conserve_sums(spark):
 
 def test_latest_of_nothing(spark, rows):
     empty = spark.createDataFrame([], TREND)
-    assert rows(ranking.latest_ranking(empty, "owner", 10)) == []
+    assert rows(ranking.latest_ranking(empty, ["owner"], 10)) == []
     assert rows(empty.filter(F.col("year") == rollups.latest(empty))) == []
     assert rows(ranking.top_latest(spark.createDataFrame([], FACILITY + ", rank int"), "s")) == []
 
 
+def test_latest_ranking_order_is_total(spark, rows):
+    """Ties on all but one column of the key, in any order of the input."""
+    records = [(c, 2020, s, 5.0) for c in ("A", "B", "C") for s in ("x", "y")]
+    for seed in range(4):
+        shuffled = random.Random(seed).sample(records, len(records))
+        df = spark.createDataFrame(shuffled, "iso3_country string, year int, sector string, emissions_quantity double")
+        found = ranking.latest_ranking(df.repartition(3), ["iso3_country", "sector"], 3)
+        assert rows(found.select("iso3_country", "sector")) == [("A", "x"), ("A", "y"), ("B", "x")]
+
+
+def test_upsert_with_null_keys(spark, rows):
+    old = spark.createDataFrame([(None, 1), ("a", 1)], "k string, n int")
+    new = spark.createDataFrame([(None, 2), ("b", 2)], "k string, n int")
+    assert rows(upsert(old, new, ["k"], [F.desc("n")]), sort=True) == [("a", 1), ("b", 2), (None, 2)]
+
+
 def test_latest_ranking_reads_the_latest_year_only(spark, rows):
     df = spark.createDataFrame(
         [("a", 2020, 99.0, 1), ("b", 2021, 1.0, 1), ("c", 2021, None, 1), ("d", 2021, 1.0, 1)], TREND
     )
-    assert [r[0] for r in rows(ranking.latest_ranking(df, "owner", 2))] == ["b", "d"]
-    assert [r[0] for r in rows(ranking.latest_ranking(df, "owner", 9))] == ["b", "d", "c"]
+    assert [r[0] for r in rows(ranking.latest_ranking(df, ["owner"], 2))] == ["b", "d"]
+    assert [r[0] for r in rows(ranking.latest_ranking(df, ["owner"], 9))] == ["b", "d", "c"]
 
 
 # --- ranking ---
@@ -341,8 +357,15 @@ def test_category_index(spark, rows):
     some = spark.createDataFrame([("c05",), ("c07",)], "c string")
     found = dict(rows(presentation.category_index(df, "c", some)))
     assert (found["c05"], found["c07"], found["c06"]) == (0, 1, 0)
-    with pytest.raises(Exception, match="more than 3 values"):
-        presentation.category_index(df, "c", max_categories=3).collect()
+    none = presentation.category_index(df, "c", df.where("false"))
+    assert {index for _, index in rows(none)} == {0}
+
+
+def test_category_index_of_very_many(spark):
+    """More values than one array should hold, dealt over several ranges."""
+    df = spark.range(60_000).select(F.format_string("v%05d", "id").alias("c"), "id")
+    wrong = presentation.category_index(df.repartition(7), "c").where("category_index <> id % 10")
+    assert wrong.isEmpty()
 
 
 def test_coverage(spark, rows):

@@ -5,16 +5,18 @@ import pytest
 from conftest import SF_DIR, plan_of
 
 import __spark_entry__ as contract
+from plumeledger.plans.oracle import ORACLE
+from plumeledger.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-# Queries that write files or tables before they return.
+#: Queries that write files or tables first; what they return is planned like any other.
 WRITERS = {
     name
-    for name in contract.queries()
-    if name.startswith(("stored_", "analysis_", "ingest_", "csv_", "stream_", "reject_"))
+    for name in QUERIES
+    if name.startswith(("stored_", "analysis_", "ingest_", "csv_", "stream_", "reject_", "reload_", "refresh_"))
 }
 
 
@@ -27,22 +29,28 @@ def engine(sf_dir):
 
 
 def test_names():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_as_sql(spark, sf_dir, engine, name):
-    df = contract.queries()[name](spark, sf_dir)
-    result = engine.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    if name in WRITERS:
+        check_plan(plan_of(df))
+    result = engine.execute(ORACLE[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == sorted(df.columns)
     theirs = sorted(map(repr, result.fetchall()))
     assert sorted(repr(tuple(r)) for r in df.select(*[f"`{n}`" for n in names]).collect()) == theirs
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in WRITERS])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITERS])
 def test_plan(spark, sf_dir, name):
-    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    check_plan(plan_of(QUERIES[name](spark, sf_dir)))
+
+
+def check_plan(plan):
     for bad in ("EvalPython", "ArrowEval", "InPandas", "CartesianProduct", "NestedLoop"):
         assert bad not in plan
     for line in plan.splitlines():
@@ -55,14 +63,14 @@ def test_plan(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["top_sources", "controlling_parent", "latest_rows", "top_owners_by_year"])
 def test_rows_are_limited_before_the_shuffle(spark, sf_dir, name):
-    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
     assert any("Partial" in line for line in limits)
     assert any("Final" in line for line in limits)
 
 
 def test_only_needed_columns_are_read(spark, sf_dir):
-    plan = plan_of(contract.queries()["source_year_rollup"](spark, sf_dir))
+    plan = plan_of(QUERIES["source_year_rollup"](spark, sf_dir))
     lineitem = next(line for line in plan.splitlines() if "l_suppkey:bigint" in line)
     assert "l_tax" not in lineitem.split("ReadSchema")[1]
 

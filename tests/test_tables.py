@@ -195,6 +195,54 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "EqualTo(owner,a)" in plan_of(trend)
 
 
+def test_failed_publish_leaves_the_table(spark, tmp_path, rows, monkeypatch):
+    """An error while the new files are written: the old rows are still read."""
+    root = str(tmp_path)
+    many = [(2020, f"o{i}", float(i), 1) for i in range(10)]
+    write_table(spark.createDataFrame(many, OWNER), root, "analysis_owner_year", mode="refresh")
+    publish = tables._publish
+
+    def broken(merged, *rest):
+        fails = F.when(F.col("owner") == "new", F.raise_error(F.lit("broken"))).otherwise(F.col("owner"))
+        publish(merged.withColumn("owner", fails.cast("string")), *rest)
+
+    monkeypatch.setattr(tables, "_publish", broken)
+    for mode in ("refresh", "upsert"):
+        with pytest.raises(Exception, match="broken"):
+            write_table(spark.createDataFrame([(2020, "new", 1.0, 1)], OWNER), root, "analysis_owner_year", mode=mode)
+        assert read_table(spark, root, "analysis_owner_year").count() == 10
+    assert not [f for f in os.listdir(work_dir(spark)) if "analysis_owner_year" in f]
+
+
+def test_reader_keeps_its_snapshot(spark, tmp_path, rows):
+    root = str(tmp_path)
+    write_table(spark.createDataFrame([(2020, "a", 1.0, 1)], OWNER), root, "analysis_owner_year", mode="refresh")
+    before = read_table(spark, root, "analysis_owner_year")
+    for n in (2.0, 3.0, 4.0):
+        assert rows(read_table(spark, root, "analysis_owner_year").select("emissions_quantity")) == [(n - 1,)]
+        write_table(spark.createDataFrame([(2020, "a", n, 1)], OWNER), root, "analysis_owner_year", mode="refresh")
+        if n == 2.0:
+            assert rows(before.select("emissions_quantity")) == [(1.0,)]
+    # Only the last two writes are still there.
+    assert len([f for f in os.listdir(f"{root}/analysis_owner_year") if f.startswith("batch=")]) == 2
+
+
+def test_very_many_directories(spark, tmp_path):
+    """Far more directories than one filter expression could name."""
+    root = str(tmp_path)
+    df = spark.range(5000).select(
+        F.concat(F.lit("s/"), F.col("id")).alias("subsector"),
+        F.col("id").alias("source_id"),
+        F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz").alias("start_time"),
+        F.lit(1.0).alias("emissions_quantity"),
+    )
+    rows_ = as_table(df, "emissions_sources")
+    write_table(rows_, root, "emissions_sources")
+    write_table(rows_.withColumn("emissions_quantity", F.lit(2.0)), root, "emissions_sources")
+    table = read_table(spark, root, "emissions_sources")
+    assert table.agg(F.count("*"), F.sum("emissions_quantity")).first()[:] == (5000, 10000.0)
+
+
 def test_failed_merge_leaves_the_table(spark, tmp_path, rows, monkeypatch):
     root = str(tmp_path)
     day = datetime(2020, 1, 1)
