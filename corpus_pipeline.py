@@ -19,7 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier scores at 0.7 or more, as ``op9`` does."""
     labels = table(spark, sf_dir, "labels")
     net = quality.train(docs, labels, "quality", lambda column: quality.fold(column, 4) == 2)
-    return quality.score(docs, net).where("quality_score >= 0.7").select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = quality.score(docs, net, "__quality").where("__quality >= 0.7")
+    return scored.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
