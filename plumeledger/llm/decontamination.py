@@ -233,7 +233,7 @@ def _hits(items: Items) -> Callable:
 def find_phrases(index: DataFrame, items: DataFrame, window: int = 10, group_bytes: int = 8 << 20) -> DataFrame:
     """``doc_id, n_words, spans, items`` of every document: ``spans`` are the runs of its words
     (from ``s`` to before ``e``) inside occurrences of windows, ``items`` the ids of the items
-    with such windows."""
+    with such windows. ``index`` must be a written table, whose segment numbers stand fast."""
     found = [index.mapInArrow(_hits(group), HITS) for group in _groups(items, window, group_bytes)]
     if len(found) == 1:
         return found[0].select("doc_id", "n_words", "spans", F.array_distinct("items").alias("items"))

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .textbytes import SpanHasher, chunks, word_spans
 
@@ -207,8 +208,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Callable[[st
     )
 
 
-def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """All columns of ``docs`` plus ``quality_score``, from 0 to 1; every row, whole texts."""
+def score(docs: DataFrame, net: Network | None, name: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` plus ``name``, from 0 to 1; every row, whole texts."""
+    if name in docs.columns:
+        raise ValueError(f"the input has a column {name} already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
@@ -222,8 +225,7 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 columns = [part.column(c) for c in part.schema.names if c != "__text"]
                 names = [c for c in part.schema.names if c != "__text"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*names, "quality_score"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*names, name])
 
-    given = docs.drop("quality_score")
-    schema = given.schema.add("quality_score", "double")
-    return given.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, schema)
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, schema)
