@@ -72,7 +72,7 @@ def passages(hasher: SpanHasher, data: np.ndarray, offsets: np.ndarray) -> tuple
     some = np.maximum(size, 1)
     first = np.concatenate([[True], of_word[1:] != of_word[:-1]])
     # A blank belongs to the passage of the word before it.
-    reach = np.append(starts[1:], ends[-1])
+    reach = np.append(starts[1:], len(data))
     reach = np.minimum(reach, offsets[text_of + 1])
     span = reach - starts
     at = np.repeat(starts - np.cumsum(span) + span, span) + np.arange(span.sum())
