@@ -6,7 +6,20 @@ and operators independently of the DataFrame code.
 
 from __future__ import annotations
 
-from .queries import FIRST_QUANTITY, ISO, OWNERS, PARTIAL, SECTOR, SECTORS, SOURCE, SUBSECTOR, YEAR
+from ..schemas import TABLES
+from .queries import (
+    FIRST_QUANTITY,
+    ISO,
+    OWNERS,
+    PARTIAL,
+    SECTOR,
+    SECTORS,
+    SOME_YEARS,
+    SOURCE,
+    SUBSECTOR,
+    YEAR,
+)
+from .standins import filler
 
 PRICE = (
     "case l.l_returnflag when 'R' then -l.l_extendedprice "
@@ -269,6 +282,16 @@ _LINE_KEY_ORDER = (
     "l_tax, l_returnflag"
 )
 
+_SELECTED = f"subsector <> '{SUBSECTOR}' and year in {SOME_YEARS}"
+
+
+def _filled(name: str, **given: str) -> str:
+    """All columns of a table: those given, the others as the stand-ins fill them."""
+    return ", ".join(
+        f"{given.get(c) or filler(name, c)} as {c}" for c in TABLES[name].columns
+    )
+
+
 ORACLE: dict[str, str] = {
     "sector_year_totals": _with(("sector_year",), "select * from sector_year"),
     "national_total_by_year": _with(
@@ -367,7 +390,9 @@ ORACLE: dict[str, str] = {
     "list_sectors": _with(
         ("country",), f"select distinct sector from country where iso3_country = '{ISO}'"
     ),
-    "list_sectors_set": _with(("country",), "select distinct iso3_country, sector from country"),
+    "list_sectors_set": _with(
+        ("country",), f"select distinct iso3_country, sector from country where iso3_country <> '{ISO}'"
+    ),
     "list_subsectors": _with(
         ("country",),
         f"""
@@ -402,7 +427,9 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "sector_timeseries": _with(("timeseries",), "select * from timeseries"),
-    "sector_timeseries_set": _with(("sector_year",), "select * from sector_year"),
+    "sector_timeseries_set": _with(
+        ("sector_year",), f"select * from sector_year where iso3_country <> '{ISO}'"
+    ),
     "sector_subsectors": _with(
         ("country",),
         f"""
@@ -412,7 +439,10 @@ ORACLE: dict[str, str] = {
     ),
     "sector_subsectors_set": _with(
         ("country",),
-        "select iso3_country, sector, subsector, year, emissions_quantity from country",
+        f"""
+        select iso3_country, sector, subsector, year, emissions_quantity from country
+        where iso3_country <> '{ISO}' and sector <> '{SECTORS[0]}'
+        """,
     ),
     "top_of_subsector_year": _with(
         ("top",),
@@ -421,9 +451,9 @@ ORACLE: dict[str, str] = {
         where subsector = '{SUBSECTOR}' and year = {YEAR}
         """,
     ),
-    "top_of_set": _with(("top",), "select * from top"),
+    "top_of_set": _with(("top",), f"select * from top where {_SELECTED}"),
     "points_of_subsector_year": _with(("points",), "select * from points"),
-    "points_of_set": _with(("source_year",), "select * from source_year"),
+    "points_of_set": _with(("source_year",), f"select * from source_year where {_SELECTED}"),
     "ownership_of_source": _with(
         ("ownership",),
         f"""
@@ -452,12 +482,12 @@ ORACLE: dict[str, str] = {
     ),
     "facility_months_set": _with(
         ("monthly",),
-        """
+        f"""
         select subsector, source_id, start_time, emissions_quantity, activity,
                cast(null as double) as capacity
         from (select *, row_number() over (partition by subsector, source_id
                      order by start_time) as place from monthly) placed
-        where place <= 12
+        where place <= 12 and subsector <> '{SECTORS[0]}'
         """,
     ),
     "sector_pivot": _with(
@@ -661,13 +691,22 @@ ORACLE: dict[str, str] = {
     "analysis_owner_trend": _with(("monthly_owner",), "select * from monthly_owner"),
     "ingest_sources": _with(
         ("files",),
-        """
-        select entry, subsector, source_id, start_time,
-               '"' || source_name || '",' || chr(10) || 'unit' as source_name, lat,
-               emissions_quantity, 'load=' || cast(activity as varchar) as other,
-               case when emissions_quantity = 0 then 'missing column(s): gas' end as reason
-        from files
-        """,
+        "select entry, "
+        + _filled(
+            "emissions_sources",
+            subsector="subsector",
+            source_id="source_id",
+            start_time="start_time",
+            source_name="""'"' || source_name || '",' || chr(10) || 'unit'""",
+            lat="lat",
+            lon="lon",
+            gas=f"case when entry[1] <> 'c' then {filler('emissions_sources', 'gas')} end",
+            emissions_quantity="emissions_quantity",
+            activity="activity",
+            capacity="cast(null as double)",
+            other="'load=' || cast(activity as varchar)",
+        )
+        + ", case when entry[1] = 'c' then 'missing column(s): gas' end as reason from files",
     ),
     "reject_counts": _with(
         ("files",),
@@ -678,27 +717,45 @@ ORACLE: dict[str, str] = {
     ),
     "ingest_country": _with(
         ("country",),
-        """
-        select iso3_country, sector, subsector, year, gas,
-               make_timestamp(year, 1, 1, 0, 0, 0.0) as start_time, emissions_quantity
-        from country
-        """,
-    ),
-    "ingest_confidence": """
-        select d.lang as subsector, l.doc_id as source_id,
-               timestamp '2015-01-01 00:00:00' as start_time,
-               case when l.quality = 1 then 'high' end as activity,
-               cast(l.toxic as varchar) as capacity
-        from labels l join documents d on l.doc_id = d.doc_id
-    """,
+        "select "
+        + _filled(
+            "country_emissions",
+            iso3_country="iso3_country",
+            sector="sector",
+            subsector="subsector",
+            year="year",
+            gas="gas",
+            start_time="make_timestamp(year, 1, 1, 0, 0, 0.0)",
+            emissions_quantity="emissions_quantity",
+        )
+        + " from country",
+    ),
+    "ingest_confidence": "select "
+    + _filled(
+        "emissions_sources_confidence",
+        subsector="d.lang",
+        source_id="l.doc_id",
+        start_time="timestamp '2015-01-01 00:00:00'",
+        activity="case when l.quality = 1 then 'high' end",
+        capacity="cast(l.toxic as varchar)",
+    )
+    + " from labels l join documents d on l.doc_id = d.doc_id",
     "ingest_ownership": _with(
         ("ownership",),
-        """
-        select source_subsector, source_id,
-               case when overall_share_percent is null then '?' else parent_entity_id end
-               as parent_entity_id, parent_name, overall_share_percent
-        from ownership
-        """,
+        "select "
+        + _filled(
+            "emissions_sources_ownership",
+            source_subsector="source_subsector",
+            source_id="source_id",
+            parent_entity_id="case when overall_share_percent is null then '?' else parent_entity_id end",
+            parent_name="parent_name",
+            parent_entity_type="parent_entity_type",
+            parent_registration_country="parent_registration_country",
+            overall_share_percent="overall_share_percent",
+            immediate_source_owner="immediate_source_owner",
+            ownership_path="ownership_path",
+        )
+        + " from ownership",
     ),
     # Of the kinds only facility files exist; rows without gas are rejected.
     "csv_load_report": _with(

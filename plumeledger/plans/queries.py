@@ -15,7 +15,7 @@ from ..functions import convert, display
 from ..operators import lookups, ownership, presentation, ranking, rollups
 from ..operators.keyed import latest_by_key, upsert
 from ..operators.rollups import QUANTITY
-from ..schemas import conform_result
+from ..schemas import TABLES, conform_result
 from ..sources.csv_files import REJECT
 from ..sources.ingest import KINDS, ingest, listing, load, load_report, split_rejects
 from ..sources.tables import read_table, write_table
@@ -35,6 +35,7 @@ PARTIAL = 2001
 SOURCE = 7
 OWNERS = ("Customer#000000087", "Customer#000000269", "Customer#000000045")
 FIRST_QUANTITY = 1e9
+SOME_YEARS = (1996, 1998, 1999, 2050)
 SECTORS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 QUERIES: dict[str, Query] = {}
@@ -213,6 +214,12 @@ def sources_with_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lookups -----------------------------------------------------------------
 
 
+def _wanted_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup parameters: the countries but one, and one that has no data."""
+    names = F.explode(F.array(F.when(F.col("r_name") != ISO, F.col("r_name")), F.lit("NOWHERE")))
+    return driver_table(spark, sf_dir, "region").select(names.alias("iso3_country")).dropna().distinct()
+
+
 @query
 def list_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.list_sectors(standins.country(spark, sf_dir), ISO)
@@ -220,8 +227,7 @@ def list_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def list_sectors_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = driver_table(spark, sf_dir, "region").select(F.col("r_name").alias("iso3_country"))
-    return lookups.list_sectors_for(standins.country(spark, sf_dir), wanted)
+    return lookups.list_sectors_for(standins.country(spark, sf_dir), _wanted_countries(spark, sf_dir))
 
 
 @query
@@ -267,8 +273,7 @@ def sector_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sector_timeseries_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = driver_table(spark, sf_dir, "region").select(F.col("r_name").alias("iso3_country"))
-    return lookups.sector_timeseries_for(_sector_years(spark, sf_dir), wanted)
+    return lookups.sector_timeseries_for(_sector_years(spark, sf_dir), _wanted_countries(spark, sf_dir))
 
 
 @query
@@ -278,9 +283,8 @@ def sector_subsectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sector_subsectors_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = driver_table(spark, sf_dir, "region").select(
-        F.col("r_name").alias("iso3_country"), F.explode(F.array(*map(F.lit, SECTORS))).alias("sector")
-    )
+    sectors = F.explode(F.array(*map(F.lit, SECTORS[1:]))).alias("sector")
+    wanted = _wanted_countries(spark, sf_dir).select("iso3_country", sectors)
     return lookups.sector_subsectors_for(standins.country(spark, sf_dir), wanted)
 
 
@@ -289,16 +293,16 @@ def top_of_subsector_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.top_of(_top(spark, sf_dir), SUBSECTOR, YEAR)
 
 
-def _all_selections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every subsector with every year of the domain, as lookup parameters."""
-    part = driver_table(spark, sf_dir, "part")
-    years = F.explode(F.sequence(F.lit(1995), F.lit(2003))).alias("year")
+def _selections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup parameters: all subsectors but one, in some of the years with data and one without."""
+    part = driver_table(spark, sf_dir, "part").filter(F.col("p_type") != SUBSECTOR)
+    years = F.explode(F.array(*map(F.lit, SOME_YEARS))).alias("year")
     return part.select(F.col("p_type").alias("subsector")).distinct().select("subsector", years)
 
 
 @query
 def top_of_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.top_of_for(_top(spark, sf_dir), _all_selections(spark, sf_dir))
+    return lookups.top_of_for(_top(spark, sf_dir), _selections(spark, sf_dir))
 
 
 @query
@@ -308,7 +312,7 @@ def points_of_subsector_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def points_of_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.points_of_for(_source_years(spark, sf_dir), _all_selections(spark, sf_dir))
+    return lookups.points_of_for(_source_years(spark, sf_dir), _selections(spark, sf_dir))
 
 
 @query
@@ -343,12 +347,12 @@ def facility_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def facility_months_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first months of every facility in every subsector."""
+    """The first months of every facility in every subsector but one."""
     part = driver_table(spark, sf_dir, "part")
     supplier = driver_table(spark, sf_dir, "supplier")
     subsectors = part.select(F.col("p_type").alias("subsector")).distinct()
     ids = F.col("s_suppkey").alias("source_id")
-    wanted = supplier.select(ids, F.explode(F.array(*map(F.lit, SECTORS))).alias("subsector"))
+    wanted = supplier.select(ids, F.explode(F.array(*map(F.lit, SECTORS[1:]))).alias("subsector"))
     wanted = wanted.join(subsectors, "subsector", "left_semi")
     return lookups.facility_months_for(_months(spark, sf_dir), wanted)
 
@@ -772,7 +776,7 @@ def _source_files(spark: SparkSession, sf_dir: str) -> str:
     one large quantity; the positive rows have files that are a month old.
     """
     root = scratch_path(spark, "csv")
-    rows = as_table(standins.sources(spark, sf_dir), "emissions_sources").drop("other")
+    rows = standins.filled(standins.sources(spark, sf_dir), "emissions_sources").drop("other")
     ordered = ["subsector", "source_id", "start_time", QUANTITY, "activity"]
 
     def text(df: DataFrame) -> DataFrame:
@@ -811,16 +815,8 @@ def _entry(column: str = "_file") -> Column:
 @query
 def ingest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ingest(spark, _source_files(spark, sf_dir), "emissions_sources")["emissions_sources"]
-    return rows.select(
-        _entry().alias("entry"),
-        "subsector",
-        "source_id",
-        "start_time",
-        "source_name",
-        "lat",
-        QUANTITY,
-        _map_text("other").alias("other"),
-        F.col(REJECT).alias("reason"),
+    return rows.withColumn("other", _map_text("other")).select(
+        _entry().alias("entry"), *TABLES["emissions_sources"].columns, F.col(REJECT).alias("reason")
     )
 
 
@@ -836,10 +832,10 @@ def ingest_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "csv")
     day = F.make_date("year", F.lit(1), F.lit(1)).cast("timestamp_ntz")
     rows = standins.country(spark, sf_dir).withColumn("start_time", day)
-    text = _csv_text(as_table(rows, "country_emissions").drop("year"))
+    text = _csv_text(standins.filled(rows, "country_emissions").drop("year"))
     _write_csv(text, f"{root}/all/x{KINDS['country_emissions'].pattern}1.csv")
     loaded = ingest(spark, root, "country_emissions")["country_emissions"]
-    return loaded.select("iso3_country", "sector", "subsector", "year", "gas", "start_time", QUANTITY)
+    return loaded.select(*TABLES["country_emissions"].columns)
 
 
 @query
@@ -855,10 +851,10 @@ def ingest_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("quality") == 1, F.lit(" high ")).otherwise(F.lit(" ")).alias("activity"),
         F.col("toxic").cast("string").alias("capacity"),
     )
-    text = _csv_text(as_table(rows, "emissions_sources_confidence"))
+    text = _csv_text(standins.filled(rows, "emissions_sources_confidence"))
     _write_csv(text, f"{root}/all/x{KINDS['confidence'].pattern}1.csv")
     loaded = ingest(spark, root, "confidence")["confidence"]
-    return loaded.select("subsector", "source_id", "start_time", "activity", "capacity")
+    return loaded.select(*TABLES["emissions_sources_confidence"].columns)
 
 
 @query
@@ -869,12 +865,10 @@ def ingest_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = standins.ownership(spark, sf_dir).withColumn(
         "parent_entity_id", F.when(known, F.col("parent_entity_id"))
     )
-    text = _csv_text(as_table(rows, "emissions_sources_ownership"))
+    text = _csv_text(standins.filled(rows, "emissions_sources_ownership"))
     _write_csv(text, f"{root}/all/x{KINDS['ownership'].pattern}1.csv")
     loaded = ingest(spark, root, "ownership")["ownership"]
-    return loaded.select(
-        "source_subsector", "source_id", "parent_entity_id", "parent_name", "overall_share_percent"
-    )
+    return loaded.select(*TABLES["emissions_sources_ownership"].columns)
 
 
 @query

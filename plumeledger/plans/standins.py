@@ -154,3 +154,25 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
             for c, kind in TABLES[name].columns.items()
         ]
     )
+
+
+def filler(name: str, column: str) -> str | None:
+    """SQL, the same for both engines, of what ``filled`` puts into a column."""
+    kind, place = TABLES[name].columns[column], list(TABLES[name].columns).index(column)
+    day = f"2020-01-{place + 1:02d} 10:20:30"
+    return {
+        "string": f"'{column}, \"{place}\"'",
+        "double": f"cast({place}.25 as double)",
+        "bigint": f"cast({place} as bigint)",
+        "int": str(place),
+        "timestamp_ntz": f"cast('{day}' as timestamp)",
+    }.get(kind)
+
+
+def filled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the columns of a table that it lacks, each with a value of its own."""
+    columns = []
+    for c, kind in TABLES[name].columns.items():
+        value = F.col(c) if c in df.columns else F.expr((filler(name, c) or "null").replace("as timestamp)", "as timestamp_ntz)"))
+        columns.append(value.cast(kind).alias(c))
+    return df.select(*columns)
