@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def work_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local session without one gets its own."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="plumeledger-llm-"))
-        named = context.getCheckpointDir()
-    return named.rstrip("/")
+from ..sources.workspace import file_system, work_dir
 
 
 class Scratch:
@@ -33,15 +22,10 @@ class Scratch:
         self.root = f"{work_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
         self._made = 0
-        path, files = self._file_system(self.root)
+        path, files = file_system(spark, self.root)
         files.mkdirs(path)
         files.deleteOnExit(path)
 
-    def _file_system(self, name: str):
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(context._jsc.hadoopConfiguration())
-
     def stage(self, df: DataFrame) -> DataFrame:
         """``df`` written as Parquet and read back."""
         self._made += 1
@@ -54,7 +38,7 @@ class Scratch:
     def drop(self, *staged: DataFrame) -> None:
         """Delete staged tables that nothing reads any more."""
         for df in staged:
-            path, files = self._file_system(self._paths.pop(id(df)))
+            path, files = file_system(self.spark, self._paths.pop(id(df)))
             files.delete(path, True)
 
 
