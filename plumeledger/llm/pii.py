@@ -8,7 +8,7 @@ candidates (key-like tokens, digit groups, spelled-out addresses) are judged as
 2. Expectation-maximisation estimates how reliable each labeler is. It needs only the number
    of candidates per pattern of votes, of which there are at most ``3 ** LABELERS``.
 3. The resulting probabilities train the final span classifier, a naive Bayes model over a
-   few small categorical features; again only sums per feature value leave the tasks.
+   few small categorical features, from the same counts by feature value.
 4. Candidates that the classifier scores at ``THRESHOLD`` or more and that overlap no base
    span and no earlier candidate are added.
 
@@ -245,27 +245,31 @@ def reliabilities(counts: dict[tuple[int, ...], int], rounds: int = 50) -> tuple
 def train(annotated: DataFrame) -> Model:
     """Reliabilities and classifier from the candidates of ``annotate``.
 
-    The rows that reach the driver are the combinations of votes and features: a fixed
-    number at most, however large the corpus.
+    What reaches the driver is one count per pattern of votes, feature and value: fewer than
+    3,000 rows, however large the corpus.
     """
     found = annotated.select(F.explode("__pii_found").alias("x"))
-    rows = found.groupBy("x.votes", "x.features").agg(F.count("*").alias("n")).collect()
+    values = found.select(F.col("x.votes").alias("votes"), F.posexplode("x.features").alias("k", "value"))
+    rows = values.groupBy("votes", "k", "value").agg(F.count("*").alias("n")).collect()
     if not rows:
         return Model()
+    rows.sort(key=lambda r: (r["k"], r["value"], r["votes"]))
     counts: dict[tuple[int, ...], int] = {}
     for r in rows:
-        counts[tuple(r["votes"])] = counts.get(tuple(r["votes"]), 0) + r["n"]
+        if r["k"] == 0:  # every candidate has one value of each feature
+            counts[tuple(r["votes"])] = counts.get(tuple(r["votes"]), 0) + r["n"]
     model, belief = reliabilities(counts)
-    yes = sum(r["n"] * belief[tuple(r["votes"])] for r in rows)
-    no = sum(r["n"] for r in rows) - yes
+    yes = sum(n * belief[votes] for votes, n in counts.items())
+    no = sum(counts.values()) - yes
     model.bias = math.log((yes + 1) / (no + 1))
-    for k in range(len(rows[0]["features"])):
+    for k in range(1 + max(r["k"] for r in rows)):
         sums: dict[int, list[float]] = {}
         for r in rows:
-            p = belief[tuple(r["votes"])]
-            pair = sums.setdefault(r["features"][k], [0.5, 0.5])
-            pair[0] += r["n"] * (1 - p)
-            pair[1] += r["n"] * p
+            if r["k"] == k:
+                p = belief[tuple(r["votes"])]
+                pair = sums.setdefault(r["value"], [0.5, 0.5])
+                pair[0] += r["n"] * (1 - p)
+                pair[1] += r["n"] * p
         model.weights.append(
             {value: math.log(a / (yes + 1)) - math.log(b / (no + 1)) for value, (b, a) in sums.items()}
         )
