@@ -31,7 +31,7 @@ from .textbytes import SpanHasher, chunks, word_spans
 
 PASSAGE_WORDS = 64
 SAMPLE_ROWS = 12_000
-SAMPLE_PASSAGES = 256
+SAMPLE_PASSAGES = 64
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
