@@ -816,7 +816,9 @@ ORACLE: dict[str, str] = {
     "stored_owner_trend": _with(
         ("monthly_owner",),
         f"""
-        select year, emissions_quantity, source_count from monthly_owner where owner = '{OWNERS[0]}'
+        select year, emissions_quantity, source_count from monthly_owner
+        where owner = (select owner from monthly_owner where year = {YEAR}
+                       order by emissions_quantity desc, owner limit 1)
         """,
     ),
     "stored_sector_timeseries": _with(("timeseries",), "select * from timeseries"),

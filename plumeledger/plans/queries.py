@@ -716,7 +716,10 @@ def stored_top_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stored_owner_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lookups.owner_trend(_table(spark, sf_dir, "analysis_owner_trend"), OWNERS[0])
+    """Of the owner that leads the ranking of a year."""
+    leader = ranking.top_owners(_table(spark, sf_dir, "analysis_owner_year"), YEAR, 1).first()
+    owner = leader["owner"] if leader else ""
+    found = lookups.owner_trend(_table(spark, sf_dir, "analysis_owner_trend"), owner)
     return rounded(conform_result(found, "owner_trend_point"))
 
 
