@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -338,15 +338,16 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """The documents of ``docs``, all columns, with one row left of every component.
 
-    Rows without words are linked with nothing and stay. Repeated rows of one ``doc_id`` and
-    text are told apart by their place in the written input.
+    Rows without words are linked with nothing and stay. Of rows that share ``doc_id`` and
+    text the one with the smallest hash of its columns stays; the limit on their rank is
+    applied in the map tasks already, so rows that are repeated very often are not gathered.
     """
     found = near_duplicates(docs, **settings)
     leads = found.where("n_shingles > 0").select(F.col("first_copy.row_key").alias("__key")).distinct()
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blank = F.coalesce(~F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    keyed = docs.withColumns({"__key": key, "__place": F.monotonically_increasing_id(), "__blank": blank})
-    places = keyed.where("not __blank").select("__key", "__place").join(leads, "__key", "left_semi")
-    first = places.groupBy("__key").agg(F.min("__place").alias("__place")).withColumn("__first", F.lit(True))
-    chosen = keyed.join(first, ["__key", "__place"], "left").where("__blank or __first")
-    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    rank = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64(*plain)))
+    single = docs.where(~blank).withColumn("__key", key).withColumn("__rank", rank).where("__rank = 1")
+    chosen = single.join(leads, "__key", "left_semi").drop("__key", "__rank")
+    return chosen.unionByName(docs.where(blank))
