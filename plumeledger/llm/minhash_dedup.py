@@ -213,7 +213,7 @@ def _link_blocks(percent: int) -> Callable:
     return run
 
 
-def _contested(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _contested(grouped: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links that the leaders missed, within groups of more than one component.
 
     ``grouped``: ``node, sg, root, n_shingles`` of all classes that share a bucket.
@@ -232,7 +232,8 @@ def _contested(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     parts = lambda n: F.greatest(
         F.ceil(F.col(n) / _BLOCK_CLASSES), F.ceil(F.col("weight") / F.col("all") * F.col(n) / _BLOCK_SHINGLES)
     )
-    groups = groups.select("sg", "major", parts("minors").alias("rows"), parts("all").alias("cols"))
+    # Written, so that the join with it is one that Spark can split where a group is hot.
+    groups = scratch.stage(groups.select("sg", "major", parts("minors").alias("rows"), parts("all").alias("cols")))
     rows = grouped.join(groups, "sg").withColumn("hash", F.xxhash64("node"))
     left = rows.where("root <> major").select(
         "sg", "node", "root", F.lit(True).alias("is_left"),
@@ -317,12 +318,13 @@ def near_duplicates(
         .join(nodes.select("node", "n_shingles"), "node")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    more = scratch.stage(_contested(grouped, sets, percent))
+    more = scratch.stage(_contested(grouped, sets, percent, scratch))
     rooted = grouped.select(F.col("node").alias("a"), F.col("root").alias("b"))
     final = components(rooted.union(more), scratch)
 
-    placed = nodes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    leads = placed.groupBy("root").agg(F.min("lead").alias("first_copy"))
+    placed = nodes.select("node", "lead").join(final, "node", "left")
+    placed = scratch.stage(placed.withColumn("root", F.coalesce("root", "node")))
+    leads = scratch.stage(placed.groupBy("root").agg(F.min("lead").alias("first_copy")))
     placed = scratch.stage(placed.select("node", "root").join(leads, "root").select("node", "first_copy"))
     rows = signed.select("doc_id", "row_key", "n_shingles", "node")
     found = rows.join(placed, "node", "left")
