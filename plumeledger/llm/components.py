@@ -26,24 +26,27 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     a node with very many neighbours is never gathered in one task: its edges are a skewed
     join, which Spark splits.
     """
+    # No step has more edges than these, or more nodes than they have ends.
+    n = 2 * edges.count()
     current = scratch.stage(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n
     )
     while not _stars(current):
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = scratch.stage(
-            both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
+            both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low")), n
         )
         large = scratch.stage(
-            both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+            both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), n
         )
-        least = scratch.stage(large.groupBy("a").agg(F.min("b").alias("low")))
+        least = scratch.stage(large.groupBy("a").agg(F.min("b").alias("low")), n)
         small = scratch.stage(
             large.join(least, "a")
             .where("b <> low")
             .select(F.col("b").alias("a"), F.col("low").alias("b"))
             .union(least.select("a", "low"))
-            .distinct()
+            .distinct(),
+            n,
         )
         scratch.drop(current, lowest, large, least)
         current = small

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.workspace import file_system, work_dir
 
 
+#: Files of a staged table whose size is known, and rows of each.
+MIN_FILES, ROWS_PER_FILE = 8, 100_000
+
+
 class Scratch:
     """Tables written between the steps of one operator.
 
@@ -26,9 +30,15 @@ class Scratch:
         files.mkdirs(path)
         files.deleteOnExit(path)
 
-    def stage(self, df: DataFrame) -> DataFrame:
-        """``df`` written as Parquet and read back."""
+    def stage(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """``df`` written as Parquet and read back.
+
+        ``rows`` is a bound of the number of (narrow) rows where it is known: the number of
+        files then follows it instead of the shuffle setting.
+        """
         self._made += 1
+        if rows is not None:
+            df = df.coalesce(max(MIN_FILES, -(-rows // ROWS_PER_FILE)))
         path = f"{self.root}/t{self._made}"
         df.write.parquet(path)
         staged = self.spark.read.schema(df.schema).parquet(path)
