@@ -3,10 +3,12 @@
 A page is read as a sequence of text blocks, each with its root-to-leaf path of block tags.
 Per path, the length of the text and the number of punctuation marks are summed over its
 blocks and divided by their number; both ratios are smoothed along the page, multiplied, and
-compared with their spread. Paths above that threshold carry prose. The blocks below the
-smallest element that holds those paths are the main text, in page order, except parts that
-are marked as something else (menus, headers, footers, sidebars, notices, adverts, forms,
-comments of readers) and lists of links outside the chosen paths.
+compared with their spread. Paths above that threshold carry prose. Their blocks are the main
+text, in page order, and with them all other blocks of their article or main elements or,
+where those do not hold half of the prose, of the smallest element that holds all those paths
+(there without lists of links that stand in no article). Parts that are marked as something
+else (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers) are
+left out.
 
 Each page is handled by itself in one pass, so nothing is shuffled and a task holds one batch
 of pages. Defined results: a null, empty or textless page has the empty text; broken and
@@ -42,7 +44,8 @@ _CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-_KEEPS_CLASS = {"html", "body", "article", "main"}
+_ARTICLE = {"article", "main"}
+_KEEPS_CLASS = {"html", "body"} | _ARTICLE
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|promos?|promotions?|sponsor(?:s|ed)?|"
     r"sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footers?|headers?|masthead|comments?|replies|"
@@ -189,6 +192,20 @@ def prose_paths(found: list[_Block]) -> dict[tuple, float]:
     return passing or {p: c for p, c in chars.items() if c == max(chars.values())}
 
 
+def _article_depth(path: tuple) -> int:
+    """Length of the path down to its outermost article or main element, 0 without one."""
+    return next((k for k, tag in enumerate(path, 1) if tag in _ARTICLE), 0)
+
+
+def _common(paths: list[tuple]) -> tuple:
+    """The longest common beginning."""
+    low, high = min(paths), max(paths)
+    same = 0
+    while same < min(len(low), len(high)) and low[same] == high[same]:
+        same += 1
+    return low[:same]
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page, blocks joined by a line break."""
     every = blocks(page or "")
@@ -196,18 +213,19 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     chosen = prose_paths(found)
-    most = max(chosen.values())
-    holders = [p[:-1] for p, c in chosen.items() if 10 * c >= most]
-    holder = holders[0]
-    for other in holders[1:]:
-        same = 0
-        while same < min(len(holder), len(other)) and holder[same] == other[same]:
-            same += 1
-        holder = holder[:same]
+    inside = {p[: _article_depth(p)]: 0.0 for p in chosen if _article_depth(p)}
+    for p, c in chosen.items():
+        if _article_depth(p):
+            inside[p[: _article_depth(p)]] += c
+    holders = list(inside) if 2 * sum(inside.values()) >= sum(chosen.values()) else [_common([p[:-1] for p in chosen])]
     kept = [
         b.text
         for b in found
-        if b.path[: len(holder)] == holder and (b.path in chosen or 10 * b.linked < 8 * len(b.text))
+        if b.path in chosen
+        or (
+            any(b.path[: len(h)] == h for h in holders)
+            and (_article_depth(b.path) or 10 * b.linked < 8 * len(b.text))
+        )
     ]
     return "\n".join(kept)
 

@@ -34,6 +34,27 @@ def test_pages(page, text):
     assert h.main_text(page) == text
 
 
+LINKS = "<ul><li><a href=x>First source</a><li><a href=y>Second source</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><h1>Title</h1><div class=body><p>{PROSE}</p><p>{PROSE}</p></div></article>", f"Title\n{PROSE}\n{PROSE}"),
+        (f"<div><div>{f'<p>{PROSE}</p>' * 20}</div><section><p>Short, it is.</p></section></div>", "\n".join([*[PROSE] * 20, "Short, it is."])),
+        (
+            f"<article><h1>T</h1><div>{f'<p>{PROSE}</p>' * 20}</div><ul><li>one<li>two</ul><table><tr><td>x<td>y</table>"
+            "<section><p>Short, it is.</p></section></article>",
+            "\n".join(["T", *[PROSE] * 20, "one", "two", "x", "y", "Short, it is."]),
+        ),
+        (f"<article><p>{PROSE}</p><p>{PROSE}</p>{LINKS}</article>", f"{PROSE}\n{PROSE}\nFirst source\nSecond source"),
+        (f"<main><h1>T</h1><article><div><p>{PROSE}</p></div>{LINKS}</article></main>{LINKS}", f"T\n{PROSE}\nFirst source\nSecond source"),
+    ],
+)
+def test_blocks_beside_the_paragraphs(page, text):
+    assert h.main_text(page) == text
+
+
 def test_articles_of_the_given_pages(spark, sf_dir):
     """These pages mark their article, so a plain reading of it is the truth."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
