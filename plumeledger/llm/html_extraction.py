@@ -6,9 +6,10 @@ blocks and divided by their number; both ratios are smoothed along the page, mul
 compared with their spread. Paths above that threshold carry prose. Their blocks are the main
 text, in page order, and with them all other blocks of their article or main elements or,
 where those do not hold half of the prose, of the smallest element that holds all those paths
-(there without lists of links that stand in no article). Parts that are marked as something
-else (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers) are
-left out.
+(there without lists of links that stand in no article). Left out are elements that are never
+content or hidden, and elements marked as something else by a class, id or role (menus,
+headers, footers, sidebars, notices, adverts, comments of readers), see ``_drop_marked``: a
+mark counts only where the prose of the page is somewhere else.
 
 Each page is handled by itself in one pass, so nothing is shuffled and a task holds one batch
 of pages. Defined results: a null, empty or textless page has the empty text; broken and
@@ -45,13 +46,18 @@ _CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _ARTICLE = {"article", "main"}
-_KEEPS_CLASS = {"html", "body"} | _ARTICLE
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_KEEPS_CLASS = {"html", "body"} | _ARTICLE | _HEADINGS
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|promos?|promotions?|sponsor(?:s|ed)?|"
     r"sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footers?|headers?|masthead|comments?|replies|"
     r"disqus|cookies?|consent|gdpr|notices?|alerts?|newsletter|subscribe|signup|login|related|recommended|"
     r"share|sharing|social|popup|modal|overlay|widgets?|toolbar|pagination|pager|copyright|legal|skip)(?:$|[\s_-])"
 )
+#: Parts of names that say that the element lacks or surrounds something: no-sidebar, has-comments.
+_ABOUT_ANOTHER = re.compile(r"(?:^|(?<=[\s_-]))(?:no|non|not|without|with|has|have|hide|hides)[_-]\S*")
+#: Whole names that nothing but an advert has.
+_ADVERT = re.compile(r"(?:^|\s)(?:ads?|adverts?|advertisements?|adsense|adsbygoogle|sponsored)(?:$|\s)")
 _MARKED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
 
 _TOKEN = re.compile(
@@ -63,33 +69,59 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？؟،।]")
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether the tag says that the element is not shown."""
+    for key, value in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key == "hidden" or (key == "style" and re.search(r"display\s*:\s*none", value)):
+            return True
+    return False
+
+
 def _marked(name: str, attributes: str) -> bool:
     """Whether the tag says that the element is not content."""
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id") and name not in _KEEPS_CLASS and _MARKED.search(value):
-            return True
-        if key == "role" and value in _MARKED_ROLES:
-            return True
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
+        if key in ("class", "id") and name not in _KEEPS_CLASS and _MARKED.search(_ABOUT_ANOTHER.sub(" ", value)):
             return True
-        if key == "style" and re.search(r"display\s*:\s*none", value):
+        if (key == "role" and value in _MARKED_ROLES) or (key == "aria-hidden" and value == "true"):
             return True
     return False
 
 
+def _advert(attributes: str) -> bool:
+    """Whether a class or id of the tag is an advert's."""
+    found = _ATTRIBUTE.findall(attributes)
+    return any(key.lower() in ("class", "id") and _ADVERT.search(value.strip("\"'").lower()) for key, value in found)
+
+
+class _Element:
+    """A marked element or an article: the nearest of either kind around it, and its depth in marks."""
+
+    __slots__ = ("advert", "article", "depth", "holds_article", "mark")
+
+    def __init__(self, mark: _Element | None, article: _Element | None, advert: bool = False) -> None:
+        self.mark, self.article, self.advert, self.holds_article = mark, article, advert, False
+        self.depth = mark.depth + 1 if mark else 1
+
+
 class _Block:
-    __slots__ = ("linked", "path", "text", "wanted")
+    __slots__ = ("article", "linked", "mark", "path", "text", "wanted")
 
-    def __init__(self, path: tuple, text: str, linked: int, wanted: bool) -> None:
+    def __init__(
+        self, path: tuple, text: str, linked: int, wanted: bool, mark: _Element | None, article: _Element | None
+    ) -> None:
         self.path, self.text, self.linked, self.wanted = path, text, linked, wanted
+        self.mark, self.article = mark, article
 
 
 def blocks(page: str) -> list[_Block]:
     """Text blocks of a page in order: path, text with single blanks, characters in links."""
     found: list[_Block] = []
-    # Open elements: tag, and whether text inside is wanted. Inline ones are not kept.
-    stack: list[tuple[str, bool]] = []
+    # Open elements: tag, whether text inside is wanted, the nearest marked element and the
+    # nearest article or main element. Inline ones are not kept.
+    stack: list[tuple[str, bool, _Element | None, _Element | None]] = []
+    outside = ("", True, None, None)
     parts: list[str] = []
     linked, links = 0, 0
 
@@ -98,8 +130,8 @@ def blocks(page: str) -> list[_Block]:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            wanted = stack[-1][1] if stack else True
-            found.append(_Block(tuple(tag for tag, _ in stack), text, min(linked, len(text)), wanted))
+            _, wanted, mark, article = stack[-1] if stack else outside
+            found.append(_Block(tuple(x[0] for x in stack), text, min(linked, len(text)), wanted, mark, article))
         linked = 0
 
     at, n = 0, len(page)
@@ -119,7 +151,7 @@ def blocks(page: str) -> list[_Block]:
         if token["close"]:
             if name == "a":
                 links = max(0, links - 1)
-            elif name not in _INLINE and any(tag == name for tag, _ in stack):
+            elif name not in _INLINE and any(x[0] == name for x in stack):
                 flush()
                 while stack.pop()[0] != name:
                     pass
@@ -153,8 +185,17 @@ def blocks(page: str) -> list[_Block]:
                 del stack[inner[0] :]
         while stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
             stack.pop()  # none of these holds a block
-        wanted = (not stack or stack[-1][1]) and name not in _NEVER and not _marked(name, attributes)
-        stack.append((name, wanted))
+        _, wanted, mark, article = stack[-1] if stack else outside
+        wanted = wanted and name not in _NEVER and not _hidden(attributes)
+        if wanted and _marked(name, attributes):
+            mark = _Element(mark, article, _advert(attributes))
+        if name in _ARTICLE:
+            article = _Element(mark, article)
+            around = mark if wanted else None
+            while around and not around.holds_article:
+                around.holds_article = True
+                around = around.mark
+        stack.append((name, wanted, mark, article))
     flush()
     return found
 
@@ -192,6 +233,60 @@ def prose_paths(found: list[_Block]) -> dict[tuple, float]:
     return passing or {p: c for p, c in chars.items() if c == max(chars.values())}
 
 
+def _drop_marked(found: list[_Block]) -> list[_Block]:
+    """The blocks without those of marked elements that do not hold the page's prose.
+
+    Outer elements are judged first. An advert without an article or main element goes. Any
+    other element is kept if it holds such an element or more than half of the page's prose.
+    Beside an article with text outside of marks, a marked element that neither holds nor lies
+    in an article goes, whatever its length; beside one with prose, so do comments and teasers
+    in articles of their own, unless they lie in that same article. If neither prose nor an
+    article is left, marks other than those of adverts do not count.
+    """
+    if all(b.mark is None for b in found):
+        return found
+    levels: dict[int, dict[_Element, None]] = {}
+    for mark in {b.mark: None for b in found}:
+        while mark and mark not in levels.setdefault(mark.depth, {}):
+            levels[mark.depth][mark] = None
+            mark = mark.mark
+    adverts: set[_Element | None] = set()
+    for depth in sorted(levels):
+        adverts |= {m for m in levels[depth] if m.mark in adverts or (m.advert and not m.holds_article)}
+    found = [b for b in found if b.mark not in adverts]
+    if all(b.mark is None for b in found):
+        return found
+    chosen = prose_paths(found)
+    of_mark: dict[_Element | None, list[_Block]] = {}
+    prose: dict[_Element | None, int] = {}
+    for b in found:
+        of_mark.setdefault(b.mark, []).append(b)
+        prose[b.mark] = prose.get(b.mark, 0) + (len(b.text) - b.linked) * (b.path in chosen)
+    for depth in sorted(levels, reverse=True):
+        for mark in levels[depth]:
+            if mark.mark:
+                prose[mark.mark] = prose.get(mark.mark, 0) + prose.get(mark, 0)
+    total = sum(chosen.values())
+    kept: set[_Element | None] = {None}
+    fresh: set[_Element | None] = {None}
+    articles: set[_Element | None] = set()
+    any_article = False
+    for depth in sorted(levels):
+        for b in (b for mark in fresh for b in of_mark.get(mark, ()) if b.article):
+            any_article = True
+            if b.path in chosen and b.path[-1] not in _HEADINGS:
+                articles.add(b.article)
+        fresh = set()
+        for mark in levels[depth]:
+            if mark.mark not in kept or mark in adverts or (articles and mark.article not in articles):
+                continue
+            if mark.holds_article or (2 * prose.get(mark, 0) > total and (mark.article or not any_article)):
+                fresh.add(mark)
+        kept |= fresh
+    left = [b for b in found if b.mark in kept]
+    return left if any(b.article or b.path in chosen for b in left) else found
+
+
 def _article_depth(path: tuple) -> int:
     """Length of the path down to its outermost article or main element, 0 without one."""
     return next((k for k, tag in enumerate(path, 1) if tag in _ARTICLE), 0)
@@ -209,7 +304,7 @@ def _common(paths: list[tuple]) -> tuple:
 def main_text(page: str | None) -> str:
     """The main text of one page, blocks joined by a line break."""
     every = blocks(page or "")
-    found = [b for b in every if b.wanted]
+    found = _drop_marked([b for b in every if b.wanted])
     if not found:
         return ""
     chosen = prose_paths(found)

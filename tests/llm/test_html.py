@@ -55,6 +55,35 @@ def test_blocks_beside_the_paragraphs(page, text):
     assert h.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        *[
+            (f"<div class='{name}'><article><h1>T</h1><p>{PROSE}</p></article></div>", f"T\n{PROSE}")
+            for name in ("container no-sidebar", "layout has-comments", "widget-content", "sidebar", "page header")
+        ],
+        *[
+            (f"<div class='{name}'><p>{PROSE}</p><p>{PROSE}</p></div><div class=ad>Buy, now.</div>", f"{PROSE}\n{PROSE}")
+            for name in ("layout with-right-sidebar", "widget-content", "sidebar")
+        ],
+        (f"<article><h1 class='article-header'>T</h1><p>{PROSE}</p></article>", f"T\n{PROSE}"),
+        (f"<article><h1>T</h1><div class=widget-content><p>{PROSE}</p></div></article>", f"T\n{PROSE}"),
+        (f"<div aria-hidden=true><main><p>{PROSE}</p></main></div>", PROSE),
+        (f"{f'<div class=widget><p>{PROSE}</p></div>' * 3}", f"{PROSE}\n{PROSE}\n{PROSE}"),
+        # What is marked stays out where the prose is elsewhere.
+        (f"<div class='has-comments sidebar'><article><p>{PROSE}</p></article><div id=comments>{f'<p>{PROSE}</p>' * 9}</div></div>", PROSE),
+        (f"<main><article><p>{PROSE}</p></article><div class=related><article><p>{PROSE}</p></article></div></main>", PROSE),
+        (f"<div class=sidebar><div class=comments><p>{PROSE}</p></div><main><p>{PROSE}</p></main></div>", PROSE),
+        (f"<div class=ad>{PROSE}</div><article><h1>T.</h1><p>Short.</article>", "T.\nShort."),
+        (f"<div class=related>{PROSE}</div><article><h1>T.</h1><p>Short.</article>", "T.\nShort."),
+        (f"<nav>Home</nav><div class='top ad'>{PROSE}</div>", ""),
+        (f"<div hidden><article><p>{PROSE}</p></article></div><p>{PROSE}</p>", PROSE),
+    ],
+)
+def test_marks_around_the_prose(page, text):
+    assert h.main_text(page) == text
+
+
 def test_articles_of_the_given_pages(spark, sf_dir):
     """These pages mark their article, so a plain reading of it is the truth."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
