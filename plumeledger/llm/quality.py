@@ -7,8 +7,8 @@ and the weighted sum of their codes is the representation that is scored. Scorin
 passages of every whole text.
 
 The network is fitted on a bounded sample of labelled rows: the ``SAMPLE_ROWS`` rows with the
-smallest hashes of ``doc_id``, of each at most ``SAMPLE_PASSAGES`` evenly spaced passages.
-That bound holds at every input size; nothing else is sampled.
+smallest hashes of ``doc_id``, of each all passages. That bound holds at every input size;
+nothing else is sampled.
 
 Defined results: a null, empty or blank text is a bag with one passage of zeros and is
 scored like any other; several labels of one ``doc_id`` count as their mean, rounded up from
@@ -31,7 +31,8 @@ from .textbytes import SpanHasher, chunks, word_spans
 
 PASSAGE_WORDS = 64
 SAMPLE_ROWS = 12_000
-SAMPLE_PASSAGES = 64
+#: Passages whose gradient is computed at a time; more only for a longer document.
+BATCH_PASSAGES = 16_384
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -139,16 +140,32 @@ class Network:
         }
 
 
+def _gradient(net: Network, bags: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient over some bags, from parts of about ``BATCH_PASSAGES`` passages."""
+    sizes = np.array([len(b) for b in bags])
+    part = (np.cumsum(sizes) - sizes) // BATCH_PASSAGES
+    out: dict[str, np.ndarray] = {}
+    for k in np.unique(part):
+        rows = np.flatnonzero(part == k)
+        bounds = np.concatenate([[0], np.cumsum(sizes[rows])])
+        slopes = net.gradient(np.concatenate([bags[i] for i in rows]), bounds, labels[rows])
+        for name, slope in slopes.items():
+            out[name] = out.get(name, 0) + slope * (len(rows) / len(bags))
+    return out
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, width: int = 24, gates: int = 12, epochs: int = 15) -> Network:
     """Adam on the logistic loss of the bags, with a little weight decay."""
     random = np.random.Generator(np.random.PCG64(3))
-    every = np.concatenate(bags).astype(np.float64)
+    n = sum(map(len, bags))
+    mean = sum(b.sum(0, dtype=np.float64) for b in bags) / n
+    std = np.sqrt(sum(((b - mean) ** 2).sum(0) for b in bags) / n)
     shape = {
-        "encode": (every.shape[1], width), "encode0": (width,), "content": (width, gates),
+        "encode": (bags[0].shape[1], width), "encode0": (width,), "content": (width, gates),
         "gate": (width, gates), "energy": (gates,), "score": (width,), "score0": (),
     }
     w = {k: random.normal(0, 1 / np.sqrt(max(1, s[0] if s else 1)), s) for k, s in shape.items()}
-    net = Network(every.mean(0), every.std(0) + 1e-2, w)
+    net = Network(mean, std + 1e-2, w)
     first, second = ({k: np.zeros(s) for k, s in shape.items()} for _ in range(2))
     step = 0
     for epoch in range(epochs):
@@ -156,8 +173,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, width: int = 24, gates: int
         rate = 0.01 * 0.5 * (1 + np.cos(np.pi * epoch / epochs)) + 1e-4
         for lo in range(0, len(order), 128):
             rows = order[lo : lo + 128]
-            bounds = np.concatenate([[0], np.cumsum([len(bags[i]) for i in rows])])
-            slopes = net.gradient(np.concatenate([bags[i] for i in rows]), bounds, labels[rows])
+            slopes = _gradient(net, [bags[i] for i in rows], labels[rows])
             step += 1
             for k, slope in slopes.items():
                 slope = slope + 1e-5 * w[k]
@@ -177,10 +193,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for lo, hi, data, offsets in chunks(batch.column("text")):
             x, bounds = passages(hasher, data, offsets)
-            blobs = []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                rows = np.unique(np.linspace(a, b - 1, min(b - a, SAMPLE_PASSAGES)).astype(np.int64))
-                blobs.append(x[rows].tobytes())
+            blobs = [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), pa.array(blobs, pa.binary())],
                 names=["doc_id", "label", "bag"],

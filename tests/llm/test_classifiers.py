@@ -94,6 +94,18 @@ def test_passages_do_not_depend_on_neighbours():
     assert np.diff(bounds).tolist() == [1, 1, 1, 1, 4, 1] and not x[0].any()
 
 
+def test_quality_fit_reads_all_passages(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(64 * 70)) + " JUNK" * 64 + " more words" * (32 * 29)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "label": [0.0, 1.0], "text": [text, "short"]})
+    bags = [np.frombuffer(b, np.float32).reshape(-1, quality.N_FEATURES) for b in next(quality._sample_features(iter([batch])))[2].to_pylist()]
+    x, bounds = quality.passages(SpanHasher(), *text_buffer(batch.column("text")))
+    assert np.array_equal(np.concatenate(bags), x) and [len(b) for b in bags] == np.diff(bounds).tolist() == [100, 1]
+    whole = quality.fit(bags * 5, np.array([0.0, 1.0] * 5), epochs=2)
+    monkeypatch.setattr(quality, "BATCH_PASSAGES", 150)
+    parts = quality.fit(bags * 5, np.array([0.0, 1.0] * 5), epochs=2)
+    assert all(np.allclose(whole.w[k], parts.w[k], atol=1e-9) for k in whole.w)
+
+
 def test_quality_held_out(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held_out = lambda c: quality.fold(c, 4) == 2
