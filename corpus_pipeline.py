@@ -29,8 +29,8 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of ten words of a benchmark item."""
-    return decontamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"), window=10)
+    """Documents without any window of ten words of a benchmark item, with or without an id."""
+    return decontamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"), window=10, nameless=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,9 @@ group holds mean more passes over the index, whose hits are then merged per docu
 
 Words are compared by 64-bit hashes. Defined results: null and blank texts have no words;
 an item without words matches nothing; repeated rows are judged one by one; repeated
-``item_id`` count once; a null ``item_id`` is never reported; empty tables are allowed on
-either side; other columns are ignored, whatever their names.
+``item_id`` count once; an item with a null ``item_id`` matches nothing unless ``nameless``
+items are asked for, which then are together one item whose id is null; empty tables are
+allowed on either side; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -143,7 +144,7 @@ class Segment:
 class Items:
     """Words of test items, and their distinct windows by length."""
 
-    item_ids: np.ndarray
+    item_ids: pa.Array
     words: list[np.ndarray]
     windows: dict[int, np.ndarray]
     #: For each length: window number and item number of every window of an item.
@@ -151,7 +152,7 @@ class Items:
 
 
 def _windows_of(rows: list, size: int) -> Items:
-    rows = sorted({(r["item_id"], r["text"] or "") for r in rows if r["item_id"] is not None})
+    rows = sorted({(r["item_id"], r["text"] or "") for r in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     words: list[np.ndarray] = []
     hasher = SpanHasher()
     for _, _, data, offsets in chunks(pa.array([t for _, t in rows], pa.string())):
@@ -167,16 +168,20 @@ def _windows_of(rows: list, size: int) -> Items:
     for n, parts in found.items():
         windows[n], number = np.unique(np.concatenate([v for v, _ in parts]), axis=0, return_inverse=True)
         owners[n] = (number.reshape(-1), np.concatenate([i for _, i in parts]))
-    return Items(np.array([i for i, _ in rows], np.int64), words, windows, owners)
+    return Items(pa.array([i for i, _ in rows], pa.int64()), words, windows, owners)
 
 
-def _groups(items: DataFrame, size: int, group_bytes: int) -> Iterator[Items]:
+def _groups(items: DataFrame, size: int, group_bytes: int, nameless: bool) -> Iterator[Items]:
     """The items in groups of about ``group_bytes`` of text, one at a time on the driver."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    if not nameless:
+        items = items.where("item_id is not null")
+    # Items without an id are told apart by their texts.
+    group = F.xxhash64("item_id", F.when(F.col("item_id").isNull(), F.col("text")))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // group_bytes))
     for k in range(n):
-        yield _windows_of(items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect(), size)
+        yield _windows_of(items.where(F.pmod(group, F.lit(n)) == k).collect(), size)
 
 
 HITS = "segment long, ordinal int, doc_id bigint, n_words long, spans array<struct<s:int,e:int>>, items array<bigint>"
@@ -216,7 +221,7 @@ def _hits(items: Items) -> Callable:
                 pa.array(segment.doc_ids, pa.int64()),
                 pa.array(segment.n_words),
                 pa.ListArray.from_arrays(lists[0], spans),
-                pa.ListArray.from_arrays(lists[1], pa.array(items.item_ids[pairs & 0xFFFFFFFF])),
+                pa.ListArray.from_arrays(lists[1], items.item_ids.take(pa.array(pairs & 0xFFFFFFFF))),
             ],
             names=["segment", "ordinal", "doc_id", "n_words", "spans", "items"],
         )
@@ -230,11 +235,13 @@ def _hits(items: Items) -> Callable:
     return run
 
 
-def find_phrases(index: DataFrame, items: DataFrame, window: int = 10, group_bytes: int = 8 << 20) -> DataFrame:
+def find_phrases(
+    index: DataFrame, items: DataFrame, window: int = 10, group_bytes: int = 8 << 20, nameless: bool = False
+) -> DataFrame:
     """``doc_id, n_words, spans, items`` of every document: ``spans`` are the runs of its words
     (from ``s`` to before ``e``) inside occurrences of windows, ``items`` the ids of the items
-    with such windows. ``index`` must be a written table, whose segment numbers stand fast."""
-    found = [index.mapInArrow(_hits(group), HITS) for group in _groups(items, window, group_bytes)]
+    with such windows; those of ``nameless`` items give one null. ``index`` must be a written table, whose segment numbers stand fast."""
+    found = [index.mapInArrow(_hits(group), HITS) for group in _groups(items, window, group_bytes, nameless)]
     if len(found) == 1:
         return found[0].select("doc_id", "n_words", "spans", F.array_distinct("items").alias("items"))
     hits = found[0]
@@ -280,7 +287,7 @@ def find_proximity(
     word's place in the document.
     """
     frames = []
-    for group in _groups(items, 1, group_bytes):
+    for group in _groups(items, 1, group_bytes, False):
         held = np.unique(np.concatenate([*group.words, np.zeros(0, np.uint64)]))
 
         def count(batches, held=held):
@@ -308,13 +315,13 @@ def find_proximity(
     return found
 
 
-def _near(chosen: list[np.ndarray], item_ids: np.ndarray, within: int) -> Callable:
+def _near(chosen: list[np.ndarray], item_ids: pa.Array, within: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 segment = Segment({c: batch.column(c)[i].as_py() for c in batch.schema.names})
                 rows = []
-                for item, words in zip(item_ids.tolist(), chosen, strict=True):
+                for item, words in zip(item_ids.to_pylist(), chosen, strict=True):
                     numbers = segment.term_numbers(words)
                     if not len(words) or (numbers < 0).any():
                         continue
@@ -337,13 +344,13 @@ def _near(chosen: list[np.ndarray], item_ids: np.ndarray, within: int) -> Callab
     return run
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = 10, nameless: bool = False) -> DataFrame:
     """``find_phrases`` on a stored index of ``docs``."""
     scratch = Scratch(docs.sparkSession, "postings")
-    return find_phrases(scratch.stage(build_index(docs)), items, window)
+    return find_phrases(scratch.stage(build_index(docs)), items, window, nameless=nameless)
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, nameless: bool = False) -> DataFrame:
     """The documents of ``docs``, all columns, without those that hold a window of an item.
 
     Rows are matched by a hash of ``doc_id`` and text, so rows that share an id are judged
@@ -351,6 +358,6 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) ->
     """
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keyed = docs.withColumn("__key", key)
-    judged = contamination(keyed.select(F.col("__key").alias("doc_id"), "text"), items, window)
+    judged = contamination(keyed.select(F.col("__key").alias("doc_id"), "text"), items, window, nameless)
     bad = judged.where(F.size("spans") > 0).select(F.col("doc_id").alias("__key")).distinct()
     return keyed.join(bad, "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -33,7 +33,7 @@ def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, nameless=True
     )
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")

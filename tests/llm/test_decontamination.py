@@ -1,11 +1,15 @@
 import re
 from itertools import pairwise
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
+import corpus_pipeline
 from plumeledger.llm import decontamination as d
+from plumeledger.llm.oracle import ORACLE
+from plumeledger.llm.queries import QUERIES
 from plumeledger.llm.shared import Scratch
 
 ITEMS = [
@@ -104,3 +108,27 @@ def test_proximity(spark):
     docs, items = frames(spark, texts, [(1, "common rare seldom"), (2, "absent rare")])
     rows = d.find_proximity(d.build_index(docs), items, terms=3, within=6).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(1, 1), (3, 1)]
+
+
+def test_items_without_id_count_in_query_and_pipeline(spark, tmp_path):
+    docs, items = frames(spark, TEXTS[:-1] + [(9, "so the quick brown fox jumps over the lazy dog and never heard a word of it")])
+    items = items.union(spark.sql("select null, 'the lazy dog and never heard a word of it at all'"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    engine = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        engine.execute(f"create view {table} as select * from '{tmp_path}/{table}.parquet/*.parquet'")
+    result = engine.execute(ORACLE["op2_decontamination"])
+    names = [x[0] for x in result.description]
+    df = QUERIES["op2_decontamination"](spark, str(tmp_path))
+    ours = sorted(repr(tuple(r)) for r in df.select(*names).collect())
+    assert ours == sorted(map(repr, result.fetchall()))
+    assert {r["doc_id"] for r in df.where("contaminated").collect()} == {1, 3, 6, 7, 9}
+    assert {r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()} == {2, 4, 5, 8}
+    index = Scratch(spark, "t").stage(d.build_index(docs))
+    one, many = (found_ids(d.find_phrases(index, items, 10, size, nameless=True)) for size in (8 << 20, 60))
+    assert one == many and one[7] == [None] and one[9] == [1, None]
+
+
+def found_ids(df):
+    return {r["doc_id"]: sorted(r["items"], key=lambda i: (i is None, i or 0)) for r in df.collect()}
