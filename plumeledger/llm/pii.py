@@ -12,8 +12,8 @@ candidates (key-like tokens, digit groups, spelled-out addresses) are judged as
 4. Candidates that the classifier scores at ``THRESHOLD`` or more and that overlap no base
    span and no earlier candidate are added.
 
-A span's place comes from splitting the text at the pattern: the lengths of the pieces
-between the matches and of the matches add up to code-point offsets. No row is shuffled but
+A span's place comes from splitting the text at the pattern: the running sums of the lengths
+of the pieces between the matches and of the matches are its offsets. No row is shuffled but
 the vote counts, so hot sources or copies have no effect. Patterns are written so that each
 run of characters is scanned once, also in very long texts: possessive repetitions, and
 matches that may only begin where a run begins or where the last match ended.
@@ -32,6 +32,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Scratch
+
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("address", "number", "secret")
 KINDS = (*BASE, *EXTRA)
@@ -73,25 +75,72 @@ def _guard(kind: str) -> Column:
     return text.rlike("[0-9]")
 
 
+def _scan(values: Column, size: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Running values of an array, in as many passes as ``size`` has binary digits.
+
+    A pass merges every element with the one ``2 ** k`` places before it. To append to an array
+    one by one would copy it each time, which no text with very many matches survives.
+    """
+    passes = F.when(size > 1, F.sequence(F.lit(0), F.length(F.bin((size - 1).cast("long"))) - 1)).otherwise(F.array())
+
+    def step(done: Column, k: Column) -> Column:
+        back = lambda i: F.get(done, i - F.call_function("shiftleft", F.lit(1), k))
+        return F.transform(done, lambda x, i: F.when(back(i).isNull(), x).otherwise(merge(back(i), x)))
+
+    return F.aggregate(passes, values, step)
+
+
+def _running_sum(values: Column, size: Column) -> Column:
+    return _scan(values, size, lambda before, x: before + x)
+
+
+#: Elements that a growing array holds before they are set aside as one part.
+_PART = 256
+
+
+def _picked(items: Column, kind: str, start: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
+    """Elements made one after the other: ``step(state, x)`` gives whether ``x`` makes one, the
+    element, and the next state. They gather in parts, so that no long array is copied."""
+    none, parts = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def held(done: Column, x: Column) -> Column:
+        made, element, state = step(done["state"], x)
+        full = F.size(done["last"]) >= _PART
+        return F.struct(
+            state.alias("state"),
+            F.when(full, F.concat(done["parts"], F.array(done["last"]))).otherwise(done["parts"]).alias("parts"),
+            F.when(made, F.concat(F.when(full, none).otherwise(done["last"]), F.array(element)))
+            .otherwise(F.when(full, none).otherwise(done["last"]))
+            .alias("last"),
+        )
+
+    first = F.struct(start.alias("state"), parts.alias("parts"), none.alias("last"))
+    return F.aggregate(items, first, held, lambda d: F.flatten(F.concat(d["parts"], F.array(d["last"]))))
+
+
 def _located(pieces: Column, hits: Column) -> Column:
-    """Matches with their code-point offsets and the text around them."""
+    """Matches with their code-point and byte offsets and the text around them.
+
+    An end is the running sum of the lengths of what stands between the matches and of the
+    matches themselves.
+    """
+    n = F.size(hits)
+    of = lambda length: F.zip_with(F.slice(pieces, 1, n), hits, lambda x, y: length(x) + length(y))
     zipped = F.arrays_zip(
         hits.alias("hit"),
-        F.slice(pieces, 1, F.size(hits)).alias("before"),
-        F.slice(pieces, 2, F.size(hits)).alias("after"),
+        F.slice(pieces, 1, n).alias("before"),
+        F.slice(pieces, 2, n).alias("after"),
+        _running_sum(of(F.char_length), n).alias("end"),
+        _running_sum(of(F.octet_length), n).alias("to"),
     )
-    none = F.array().cast("array<struct<start:int,end:int,hit:string,before:string,after:string>>")
-
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.char_length(x["before"])
-        end = start + F.char_length(x["hit"])
-        found = F.struct(
-            start.alias("start"), end.alias("end"), x["hit"].alias("hit"),
+    return F.transform(
+        zipped,
+        lambda x: F.struct(
+            (x["end"] - F.char_length(x["hit"])).alias("start"), x["end"].alias("end"),
+            (x["to"] - F.octet_length(x["hit"])).alias("from"), x["to"].alias("to"), x["hit"].alias("hit"),
             F.right(x["before"], F.lit(_CONTEXT)).alias("before"), F.left(x["after"], F.lit(8)).alias("after"),
-        )
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(found)).alias("found"))
-
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda done: done["found"])
+        ),
+    )
 
 
 def _valid(kind: str, hit: Column) -> Column:
@@ -165,16 +214,17 @@ def _checked(kind: str) -> Callable[[Column], Column]:
 
 def _judged(kind: str) -> Callable[[Column], Column]:
     return lambda x: F.struct(
-        F.lit(KINDS.index(kind)).alias("kind"), x["start"], x["end"],
+        F.lit(KINDS.index(kind)).alias("kind"), x["start"], x["end"], x["from"], x["to"],
         F.array(*_votes(kind, x)).alias("votes"), F.array(*_features(kind, x)).alias("features"),
     )
 
 
 def annotate(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` plus ``__pii_base`` (kind number, start, end) and
-    ``__pii_found``: base spans and candidates with their votes and features."""
+    """All columns of ``docs`` plus ``__pii_base`` (start, kind number, end, and the byte
+    offsets ``from`` and ``to``) and ``__pii_found``: base spans and candidates with their
+    votes and features."""
     df = docs.withColumn("__pii_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    none = "array<struct<kind:int,start:int,end:int,votes:array<int>,features:array<int>>>"
+    none = "array<struct<kind:int,start:int,end:int,from:int,to:int,votes:array<int>,features:array<int>>>"
     for kind, pattern in PATTERNS.items():
         guard = _guard(kind)
         df = df.withColumn("__pii_hits", F.when(guard, F.regexp_extract_all("__pii_text", F.lit(pattern), F.lit(0))))
@@ -189,16 +239,20 @@ def annotate(docs: DataFrame) -> DataFrame:
     base = F.filter("__pii_found", lambda x: x["kind"] < len(BASE))
     df = df.withColumn(
         "__pii_base",
-        F.array_sort(F.transform(base, lambda x: F.struct(x["start"], x["kind"], x["end"]))),
+        F.array_sort(F.transform(base, _span)),
     )
     return df.drop("__pii_text", "__pii_hits", "__pii_pieces", "__pii_at", *[f"__pii_{kind}" for kind in KINDS])
 
 
+def _span(x: Column) -> Column:
+    return F.struct(x["start"], x["kind"], x["end"], x["from"], x["to"])
+
+
 def _trimmed(x: Column) -> Column:
     hit = F.regexp_replace(x["hit"], "[^0-9]+$", "")
     return F.struct(
-        x["start"].alias("start"), (x["start"] + F.char_length(hit)).alias("end"), hit.alias("hit"),
-        x["before"].alias("before"),
+        x["start"].alias("start"), (x["start"] + F.char_length(hit)).alias("end"),
+        x["from"].alias("from"), (x["from"] + F.octet_length(hit)).alias("to"), hit.alias("hit"), x["before"].alias("before"),
         F.left(F.concat(F.substr(x["hit"], F.char_length(hit) + 1), x["after"]), F.lit(8)).alias("after"),
     )
 
@@ -285,22 +339,41 @@ def _probability(model: Model, features: Column) -> Column:
 
 
 def spans(annotated: DataFrame, model: Model) -> DataFrame:
-    """``annotated`` with ``__pii_spans``: base and added spans by start, then kind."""
+    """``annotated`` with ``__pii_spans``: base and added spans by start, then kind.
+
+    Whether a candidate meets a base span follows from two running values over all spans by
+    start: the largest end of a base span before it, and the smallest start of one behind.
+    """
     base = F.col("__pii_base")
     sure = F.filter(
         "__pii_found", lambda x: (x["kind"] >= len(BASE)) & (_probability(model, x["features"]) >= THRESHOLD)
     )
-    ordered = F.array_sort(F.transform(sure, lambda x: F.struct(x["start"], x["kind"], x["end"])))
-    clear = lambda x, y: (x["end"] <= y["start"]) | (y["end"] <= x["start"])
-    free = F.filter(ordered, lambda x: F.forall(base, lambda y: clear(x, y)))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    apart = F.aggregate(
-        free, none,
-        lambda done, x: F.when(
-            (F.size(done) == 0) | (F.get(done, F.size(done) - 1)["end"] <= x["start"]), F.concat(done, F.array(x))
-        ).otherwise(done),
+    found = annotated.withColumn("__pii_sure", F.transform(sure, _span))
+    both = F.array_sort(F.concat(base, "__pii_sure"))
+    found = found.withColumn("__pii_both", F.when(F.size("__pii_sure") > 0, both))
+    of_base = lambda x: x["kind"] < len(BASE)
+    n = F.size("__pii_both")
+    ends = F.transform("__pii_both", lambda x: F.when(of_base(x), x["end"]).otherwise(0))
+    starts = F.transform(F.reverse("__pii_both"), lambda x: F.when(of_base(x), x["start"]).otherwise(2**31 - 1))
+    found = found.withColumn(
+        "__pii_near",
+        F.arrays_zip(
+            F.col("__pii_both").alias("x"),
+            _scan(ends, n, F.greatest).alias("behind"),
+            F.reverse(_scan(starts, n, F.least)).alias("ahead"),
+        ),
+    )
+    free = F.filter(
+        "__pii_near",
+        lambda y: ~of_base(y["x"]) & (y["behind"] <= y["x"]["start"]) & (y["ahead"] >= y["x"]["end"]),
+    )
+    span = "struct<start:int,kind:int,end:int,from:int,to:int>"
+    apart = _picked(
+        F.transform(free, lambda y: y["x"]), span, F.lit(0),
+        lambda at, x: (x["start"] >= at, x, F.when(x["start"] >= at, x["end"]).otherwise(at)),
     )
-    return annotated.withColumn("__pii_spans", F.array_sort(F.concat(base, apart)))
+    every = F.when(F.size("__pii_sure") > 0, F.array_sort(F.concat(base, apart))).otherwise(base)
+    return found.withColumn("__pii_spans", every).drop("__pii_sure", "__pii_both", "__pii_near")
 
 
 def as_text(spans_column: Column) -> Column:
@@ -311,8 +384,12 @@ def as_text(spans_column: Column) -> Column:
 
 
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """``docs`` with its spans; the model is trained on ``docs`` unless one is given."""
-    annotated = annotate(docs)
+    """``docs`` with its spans; the model is trained on ``docs`` unless one is given.
+
+    The annotation is written once: training and judging read it, instead of matching all
+    patterns twice in one expression of a size that is slow to plan and to compile.
+    """
+    annotated = Scratch(docs.sparkSession, "pii").stage(annotate(docs))
     return spans(annotated, model or train(annotated))
 
 
@@ -320,24 +397,22 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; all columns stay.
 
     Spans that overlap are replaced as one, named after the first. ``n_chars``, where there
-    is one, is set anew; a null text stays null.
+    is one, is set anew; a null text stays null. Texts are cut by byte offsets, which take no
+    count of the characters before them.
     """
     found = find(docs)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col("text").cast("string")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    start = F.struct(F.lit(0).alias("at"), text.cast("binary").alias("bytes"))
 
-    def step(done: Column, x: Column) -> Column:
-        kept = F.substr(text, done["at"] + 1, x["start"] - done["at"])
-        parts = F.concat(done["parts"], F.array(kept, F.get(names, x["kind"])))
-        return F.struct(
-            F.greatest(done["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= done["at"], parts).otherwise(done["parts"]).alias("parts"),
-        )
+    def step(done: Column, x: Column) -> tuple[Column, Column, Column]:
+        kept = F.substr(done["bytes"], done["at"] + 1, x["from"] - done["at"]).cast("string")
+        following = F.struct(F.greatest(done["at"], x["to"]).alias("at"), done["bytes"].alias("bytes"))
+        return x["from"] >= done["at"], F.concat(kept, F.get(names, x["kind"])), following
 
-    clean = F.aggregate(
-        "__pii_spans", start, step, lambda d: F.concat(F.array_join(d["parts"], ""), F.substr(text, d["at"] + 1))
-    )
+    parts = _picked(F.col("__pii_spans"), "string", start, step)
+    last = F.array_max(F.transform("__pii_spans", lambda x: x["to"]))
+    clean = F.concat(F.array_join(parts, ""), F.substr(text.cast("binary"), last + 1, F.octet_length(text)).cast("string"))
     clean = F.when(F.size("__pii_spans") > 0, clean).otherwise(text)
     found = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
