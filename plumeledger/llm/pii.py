@@ -94,30 +94,6 @@ def _running_sum(values: Column, size: Column) -> Column:
     return _scan(values, size, lambda before, x: before + x)
 
 
-#: Elements that a growing array holds before they are set aside as one part.
-_PART = 256
-
-
-def _picked(items: Column, kind: str, start: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
-    """Elements made one after the other: ``step(state, x)`` gives whether ``x`` makes one, the
-    element, and the next state. They gather in parts, so that no long array is copied."""
-    none, parts = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
-
-    def held(done: Column, x: Column) -> Column:
-        made, element, state = step(done["state"], x)
-        full = F.size(done["last"]) >= _PART
-        return F.struct(
-            state.alias("state"),
-            F.when(full, F.concat(done["parts"], F.array(done["last"]))).otherwise(done["parts"]).alias("parts"),
-            F.when(made, F.concat(F.when(full, none).otherwise(done["last"]), F.array(element)))
-            .otherwise(F.when(full, none).otherwise(done["last"]))
-            .alias("last"),
-        )
-
-    first = F.struct(start.alias("state"), parts.alias("parts"), none.alias("last"))
-    return F.aggregate(items, first, held, lambda d: F.flatten(F.concat(d["parts"], F.array(d["last"]))))
-
-
 def _located(pieces: Column, hits: Column) -> Column:
     """Matches with their code-point and byte offsets and the text around them.
 
@@ -338,6 +314,40 @@ def _probability(model: Model, features: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
+def _apart(ordered: Column) -> Column:
+    """Of spans in order, the first, then always the next that begins behind the last one kept.
+
+    Where that next span stands follows for all spans at once from the ends sorted among the
+    starts; the places kept are those reached from the first, found by doubling the jumps.
+    """
+    n = F.size(ordered)
+    event = lambda at, start, place: F.struct(
+        at.alias("at"), F.lit(start).alias("start"), place.cast("int").alias("place")
+    )
+    events = F.array_sort(
+        F.concat(
+            F.transform(ordered, lambda x, i: event(x["start"], 1, i)),
+            F.transform(ordered, lambda x, i: event(x["end"], 0, i)),
+        )
+    )
+    passed = _running_sum(F.transform(events, lambda e: e["start"]), 2 * n)
+    ends = F.filter(F.arrays_zip(events.alias("e"), passed.alias("next")), lambda y: y["e"]["start"] == 0)
+    jumps = F.array_sort(F.transform(ends, lambda y: F.struct(y["e"]["place"].alias("place"), y["next"].alias("next"))))
+    jumps = F.transform(jumps, lambda y: y["next"])
+    passes = F.sequence(F.lit(0), F.length(F.bin(n.cast("long"))))
+
+    def step(done: Column, _: Column) -> Column:
+        to = lambda i: F.coalesce(F.get(done["jumps"], i), F.lit(2**31 - 1))
+        more = F.filter(F.transform(done["places"], to), lambda i: i < n)
+        return F.struct(
+            F.concat(done["places"], more).alias("places"), F.transform(done["jumps"], to).alias("jumps")
+        )
+
+    first = F.struct(F.array(F.lit(0)).alias("places"), jumps.alias("jumps"))
+    places = F.aggregate(passes, first, step, lambda d: F.array_sort(d["places"]))
+    return F.when(n > 0, F.transform(places, lambda i: F.get(ordered, i)))
+
+
 def spans(annotated: DataFrame, model: Model) -> DataFrame:
     """``annotated`` with ``__pii_spans``: base and added spans by start, then kind.
 
@@ -355,25 +365,19 @@ def spans(annotated: DataFrame, model: Model) -> DataFrame:
     n = F.size("__pii_both")
     ends = F.transform("__pii_both", lambda x: F.when(of_base(x), x["end"]).otherwise(0))
     starts = F.transform(F.reverse("__pii_both"), lambda x: F.when(of_base(x), x["start"]).otherwise(2**31 - 1))
-    found = found.withColumn(
-        "__pii_near",
-        F.arrays_zip(
-            F.col("__pii_both").alias("x"),
-            _scan(ends, n, F.greatest).alias("behind"),
-            F.reverse(_scan(starts, n, F.least)).alias("ahead"),
-        ),
+    near = F.arrays_zip(
+        F.col("__pii_both").alias("x"),
+        _scan(ends, n, F.greatest).alias("behind"),
+        F.reverse(_scan(starts, n, F.least)).alias("ahead"),
     )
-    free = F.filter(
-        "__pii_near",
-        lambda y: ~of_base(y["x"]) & (y["behind"] <= y["x"]["start"]) & (y["ahead"] >= y["x"]["end"]),
-    )
-    span = "struct<start:int,kind:int,end:int,from:int,to:int>"
-    apart = _picked(
-        F.transform(free, lambda y: y["x"]), span, F.lit(0),
-        lambda at, x: (x["start"] >= at, x, F.when(x["start"] >= at, x["end"]).otherwise(at)),
-    )
-    every = F.when(F.size("__pii_sure") > 0, F.array_sort(F.concat(base, apart))).otherwise(base)
-    return found.withColumn("__pii_spans", every).drop("__pii_sure", "__pii_both", "__pii_near")
+    clear = lambda y: (y["behind"] <= y["x"]["start"]) & (y["ahead"] >= y["x"]["end"])
+    free = F.transform(F.filter(near, lambda y: ~of_base(y["x"]) & clear(y)), lambda y: y["x"])
+    found = found.withColumn("__pii_free", free)
+    # Candidates of one kind are apart already.
+    kinds = F.size(F.array_distinct(F.transform("__pii_free", lambda x: x["kind"])))
+    apart = F.when(kinds > 1, _apart(F.col("__pii_free"))).otherwise(F.col("__pii_free"))
+    every = F.when(F.size("__pii_free") > 0, F.array_sort(F.concat(base, apart))).otherwise(base)
+    return found.withColumn("__pii_spans", every).drop("__pii_sure", "__pii_both", "__pii_free")
 
 
 def as_text(spans_column: Column) -> Column:
@@ -403,17 +407,22 @@ def redact(docs: DataFrame) -> DataFrame:
     found = find(docs)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col("text").cast("string")
-    start = F.struct(F.lit(0).alias("at"), text.cast("binary").alias("bytes"))
-
-    def step(done: Column, x: Column) -> tuple[Column, Column, Column]:
-        kept = F.substr(done["bytes"], done["at"] + 1, x["from"] - done["at"]).cast("string")
-        following = F.struct(F.greatest(done["at"], x["to"]).alias("at"), done["bytes"].alias("bytes"))
-        return x["from"] >= done["at"], F.concat(kept, F.get(names, x["kind"])), following
-
-    parts = _picked(F.col("__pii_spans"), "string", start, step)
+    reach = _scan(F.transform("__pii_spans", lambda x: x["to"]), F.size("__pii_spans"), F.greatest)
     last = F.array_max(F.transform("__pii_spans", lambda x: x["to"]))
-    clean = F.concat(F.array_join(parts, ""), F.substr(text.cast("binary"), last + 1, F.octet_length(text)).cast("string"))
-    clean = F.when(F.size("__pii_spans") > 0, clean).otherwise(text)
+    zipped = F.arrays_zip(F.col("__pii_spans").alias("x"), F.concat(F.array(F.lit(0)), reach).alias("done"))
+    cuts = F.filter(zipped, lambda y: y["done"] <= y["x"]["from"])
+    piece = lambda b, at, end: F.substr(b, at + 1, end - at).cast("string")
+    # The bytes are bound to a name by an array of one: they are made once, not once per span.
+    clean = F.transform(
+        F.array(text.cast("binary")),
+        lambda b: F.concat(
+            F.array_join(
+                F.transform(cuts, lambda y: F.concat(piece(b, y["done"], y["x"]["from"]), F.get(names, y["x"]["kind"]))), ""
+            ),
+            piece(b, last, F.octet_length(b)),
+        ),
+    )
+    clean = F.when(F.size("__pii_spans") > 0, F.get(clean, F.lit(0))).otherwise(text)
     found = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 from llm_fixtures import no_docs, odd_docs, plan_of  # noqa: F401
@@ -96,3 +97,61 @@ def test_redaction(spark, odd_docs, no_docs):
 def test_plan_is_native(spark, odd_docs):
     plan = plan_of(pii.redact(odd_docs))
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+
+
+def test_spans_apart_same_as_one_after_the_other(spark):
+    rng = random.Random(8)
+    rows = []
+    for n in [0, 1, 2, 3, 300] + [rng.randint(2, 12) for _ in range(200)]:
+        starts = sorted(rng.randint(0, 3 * n) for _ in range(n))
+        rows.append([{"start": s, "end": s + rng.randint(1, 9)} for s in starts])
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, x array<struct<start:int,end:int>>")
+    for r in df.select("x", pii._apart(F.col("x")).alias("kept")).collect():
+        expected, at = [], 0
+        for x in r["x"]:
+            if x["start"] >= at:
+                expected.append(x)
+                at = x["end"]
+        assert (r["kept"] or []) == expected
+
+
+def test_overlapping_spans_same_as_plain_version(spark):
+    """Added spans clear of base spans and of each other; redaction by code points."""
+    rng = random.Random(9)
+    parts = [*" é😀.-", "token = ", "123456789-", "abcdefgh12345678", "x (at) y.com ", "call 555 123 4567 890 ", "a@b.org "]
+    made = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(4)
+    annotated = pii.annotate(df)
+    model = pii.Model(bias=10.0)  # every candidate is sure
+    for r in pii.spans(annotated, model).collect():
+        base_spans = [(x["start"], x["kind"], x["end"]) for x in r["__pii_base"]]
+        sure = sorted((x["start"], x["kind"], x["end"]) for x in r["__pii_found"] if x["kind"] >= len(pii.BASE))
+        added, at = [], 0
+        for s, kind, e in sure:
+            if all(e <= x or y <= s for x, _, y in base_spans) and s >= at:
+                added.append((s, kind, e))
+                at = e
+        found = [(x["start"], x["kind"], x["end"]) for x in r["__pii_spans"]]
+        assert found == sorted(base_spans + added)
+        raw = r["text"].encode()
+        assert all(raw[x["from"] : x["to"]].decode() == r["text"][x["start"] : x["end"]] for x in r["__pii_spans"])
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    for r in pii.find(df).collect():
+        out, at = "", 0
+        for x in r["__pii_spans"]:
+            if x["start"] >= at:
+                out += r["text"][at : x["start"]] + f"[{pii.KINDS[x['kind']].upper()}]"
+            at = max(at, x["end"])
+        assert redacted[r["doc_id"]] == out + r["text"][at:]
+
+
+def test_time_grows_with_the_number_of_matches(spark):
+    seconds = {}
+    for n in (100, 10_000, 40_000):
+        text = " ".join(f"a{i}@b.org so token = deadbeef{i:032x}" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        (row,) = pii.redact(df).collect()
+        seconds[n] = time.perf_counter() - start
+        assert row["text"] == " ".join(["[EMAIL] so token = [SECRET]"] * n)
+    assert seconds[40_000] < 5 * seconds[10_000]
