@@ -103,9 +103,49 @@ select conv_id, id, turn, null, 'orphan', turn, 0, 'no call', '{"id":' || to_jso
 from results where id not in (select id from calls)
 """
 
+DIVERGENCE = rf"""
+with doc as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+used as materialized (
+  select d, lang, source, term, count(*) as n
+  from (select d, lang, source, unnest(w) as term from doc) group by all),
+kept as materialized (
+  select lang, term, sum(n) as n from used group by lang, term having count(*) >= 3),
+sizes as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+groups as materialized (select distinct lang, source from doc),
+grid as (
+  select g.lang, g.source, k.term, coalesce(u.n, 0)::hugeint as n, k.n::hugeint as of_lang
+  from groups g join kept k using (lang)
+  left join (select lang, source, term, sum(n) as n from used group by all) u using (lang, source, term)),
+shares as materialized (
+  select lang, source, term, n,
+    1 + 1000000000::hugeint * (n + 1) // ((sum(n) over (partition by lang, source))::hugeint + v) as p,
+    1 + 1000000000::hugeint * (of_lang + 1) // (total::hugeint + v) as q
+  from grid join sizes using (lang)),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join shares x on x.lang = a.lang and x.source = a.source
+  left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all),
+terms as (
+  select lang, source, term as item, (p - q) * (p - q) // q as value from shares where n > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value,
+    row_number() over (partition by lang, source order by value desc, item) as r from pairs
+  union all
+  select lang, source, 'term', item, value,
+    row_number() over (partition by lang, source order by value desc, item) from terms)
+select lang, source, part, item, value::bigint as value, r::int as rank
+from ranked where part = 'pair' or r <= 200
+"""
+
 ORACLE: dict[str, str] = {
     "op1_cover_tree": COVER_TREE,
     "op2_decontamination": DECONTAMINATION,
     "op8_minhash_dedup": MINHASH,
     "op10_tool_calls": TOOL_CALLS,
+    "op11_source_divergence": DIVERGENCE,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    divergence,
     embedding_dedup,
     html_extraction,
     language_id,
@@ -109,6 +110,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, top=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
     "op2_decontamination": op2_decontamination,
@@ -120,4 +125,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_quality": op9_quality,
     "op10_tool_calls": op10_tool_calls,
+    "op11_source_divergence": op11_source_divergence,
 }
