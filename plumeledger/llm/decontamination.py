@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import Scratch, fresh
 from .textbytes import LOWER, SpanHasher, chunks, word_spans
 
 #: a-z, 0-9 and every byte of a character beyond ASCII.
@@ -356,8 +356,8 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, nam
     Rows are matched by a hash of ``doc_id`` and text, so rows that share an id are judged
     each by its own text.
     """
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    keyed = docs.withColumn("__key", key)
-    judged = contamination(keyed.select(F.col("__key").alias("doc_id"), "text"), items, window, nameless)
-    bad = judged.where(F.size("spans") > 0).select(F.col("doc_id").alias("__key")).distinct()
-    return keyed.join(bad, "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (key,) = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    judged = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), items, window, nameless)
+    bad = judged.where(F.size("spans") > 0).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -41,6 +41,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A block holds about so many bytes of whole texts; one longer text is a block of its own.
+BLOCK_BYTES = 4 << 20
 #: Sources a side that a task compares, terms of a bucket, and terms compared at a time.
 TILE, BUCKET_ROWS, _AT_A_TIME = 64, 200_000, 2048
 
@@ -66,7 +68,7 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for lo, hi, data, offsets in chunks(batch.column("text")):
+        for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK_BYTES):
             kept = ~_BLANK[data]
             starts, ends, runs = word_spans(kept, offsets)
             found = _spans_as_strings(data, kept, starts, ends).dictionary_encode()

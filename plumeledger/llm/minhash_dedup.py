@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import Scratch
+from .shared import Scratch, fresh
 from .textbytes import LOWER, SpanHasher, chunks, mix, word_spans
 
 _BLANK = np.zeros(256, bool)
@@ -345,11 +345,12 @@ def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     applied in the map tasks already, so rows that are repeated very often are not gathered.
     """
     found = near_duplicates(docs, **settings)
-    leads = found.where("n_shingles > 0").select(F.col("first_copy.row_key").alias("__key")).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    key, place = fresh(docs, "copy_key", "copy_rank")
+    leads = found.where("n_shingles > 0").select(F.col("first_copy.row_key").alias(key)).distinct()
+    hashed = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blank = F.coalesce(~F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
     plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    rank = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64(*plain)))
-    single = docs.where(~blank).withColumn("__key", key).withColumn("__rank", rank).where("__rank = 1")
-    chosen = single.join(leads, "__key", "left_semi").drop("__key", "__rank")
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*plain)))
+    single = docs.where(~blank).withColumn(key, hashed).withColumn(place, rank).where(F.col(place) == 1)
+    chosen = single.join(leads, key, "left_semi").drop(key, place)
     return chosen.unionByName(docs.where(blank))

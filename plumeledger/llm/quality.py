@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .shared import fresh
 from .textbytes import SpanHasher, chunks, word_spans
 
 PASSAGE_WORDS = 64
@@ -226,19 +227,21 @@ def score(docs: DataFrame, net: Network | None, name: str = "quality_score") ->
     if name in docs.columns:
         raise ValueError(f"the input has a column {name} already")
 
+    (whole,) = fresh(docs, "whole_text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column("__text")):
+            for lo, hi, data, offsets in chunks(batch.column(whole)):
                 if net is None:
                     found = np.full(hi - lo, 0.5)
                 else:
                     x, bounds = passages(hasher, data, offsets)
                     found = net.forward(x, bounds)["score"]
                 part = batch.slice(lo, hi - lo)
-                columns = [part.column(c) for c in part.schema.names if c != "__text"]
-                names = [c for c in part.schema.names if c != "__text"]
+                names = [c for c in part.schema.names if c != whole]
+                columns = [part.column(c) for c in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*names, name])
 
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
-    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.withColumn(whole, F.col("text").cast("string")).mapInArrow(run, schema)

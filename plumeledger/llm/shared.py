@@ -52,5 +52,17 @@ class Scratch:
             files.delete(path, True)
 
 
+def fresh(df: DataFrame, *labels: str) -> list[str]:
+    """Names that no column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for label in labels:
+        while label in taken:
+            label += "_"
+        taken.add(label)
+        names.append(label)
+    return names
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -23,7 +23,7 @@ def odd_docs(spark):
         (9, "Ünïcödé 中文 😀 été <|endoftext|> it's", "fr"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    clash = "row node segment section spans items kept component_id row_key key score label bag quality_score n_words"
+    clash = "__text __key __rank copy_key copy_rank whole_text row node segment section spans items kept component_id row_key key score label bag quality_score n_words"
     for name in clash.split():
         df = df.selectExpr("*", f"'x' as {name}")
     return df.selectExpr("*", "length(text) as n_chars", "'s' as source").repartition(3)
