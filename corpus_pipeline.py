@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from plumeledger.llm import decontamination, minhash_dedup, packing, pii, quality
 from plumeledger.llm.queries import WORD_TOKENIZER
-from plumeledger.llm.shared import Scratch, table
+from plumeledger.llm.shared import Scratch, fresh, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at 0.7 or more, as ``op9`` does."""
     labels = table(spark, sf_dir, "labels")
     net = quality.train(docs, labels, "quality", lambda column: quality.fold(column, 4) == 2)
-    scored = quality.score(docs, net, "__quality").where("__quality >= 0.7")
+    (name,) = fresh(docs, "quality_score")
+    scored = quality.score(docs, net, name).where(F.col(name) >= 0.7)
     return scored.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
