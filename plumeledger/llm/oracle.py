@@ -142,10 +142,30 @@ select lang, source, part, item, value::bigint as value, r::int as rank
 from ranked where part = 'pair' or r <= 200
 """
 
+SUBSTRINGS = r"""
+with doc as materialized (
+  select row_number() over () as d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+win as materialized (
+  select d, p, array_to_string(w[p : p + 34], ' ') as g
+  from (select d, w, unnest(generate_series(1, len(w) - 34)) as p from doc where len(w) >= 35)),
+again as (select g from win group by g having count(*) > 1),
+covered as materialized (
+  select distinct d, unnest(generate_series(p, p + 34)) as q from win join again using (g)),
+left_over as (
+  select d, string_agg(word, ' ' order by q) as t
+  from (select d, unnest(w) as word, generate_subscripts(w, 1) as q from doc) anti join covered using (d, q)
+  group by d),
+removed as (select d, count(*) as n from covered group by d)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from doc left join removed using (d) left join left_over using (d)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_cover_tree": COVER_TREE,
     "op2_decontamination": DECONTAMINATION,
     "op8_minhash_dedup": MINHASH,
     "op10_tool_calls": TOOL_CALLS,
     "op11_source_divergence": DIVERGENCE,
+    "op12_substring_dedup": SUBSTRINGS,
 }

@@ -18,6 +18,7 @@ from . import (
     packing,
     pii,
     quality,
+    substring_dedup,
     token_counts,
     tool_calls,
 )
@@ -114,6 +115,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, top=200)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
     "op2_decontamination": op2_decontamination,
@@ -126,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_tool_calls": op10_tool_calls,
     "op11_source_divergence": op11_source_divergence,
+    "op12_substring_dedup": op12_substring_dedup,
 }
