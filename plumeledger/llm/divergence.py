@@ -1,9 +1,10 @@
 """How far the sources of a language diverge, from term counts by chunk factorization.
 
 1. In blocks of some MB of whole texts, every document's white-space chunks are counted. A
-   block gives one posting per distinct chunk: the documents that hold it, and how often.
-2. Each globally distinct chunk is split into terms once.
-3. Postings are joined with the terms of their chunks. Per block, the postings of a term's
+   block keeps the documents of every occurrence by distinct chunk, packed into one row.
+2. Each globally distinct chunk is split into terms once. Terms whose chunks lie in too few
+   documents, even if no document held two of them, go no further.
+3. The terms are joined back to the blocks by chunk. Per block, the occurrences of a term's
    chunks merge into its distinct documents and occurrences by source; documents lie in one
    block only, so the sums over the blocks are exact.
 4. Terms in enough documents of their language are kept, with shares of every source and of
@@ -25,6 +26,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +48,10 @@ BLOCK_BYTES = 4 << 20
 #: Sources a side that a task compares, terms of a bucket, and terms compared at a time.
 TILE, BUCKET_ROWS, _AT_A_TIME = 64, 200_000, 2048
 
-POSTINGS = "block long, chunk string, docs binary, counts binary, langs array<string>, sources array<string>"
+# Groups are packed: a list column would be measured anew for every row sent to a task.
+BLOCKS = (
+    "block long, chunks array<string>, in_docs array<int>, held binary, bounds binary, groups binary, of_doc binary"
+)
 
 
 def _spans_as_strings(data: np.ndarray, kept: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -56,40 +61,39 @@ def _spans_as_strings(data: np.ndarray, kept: np.ndarray, starts: np.ndarray, en
     return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(held))
 
 
-def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """``values[bounds[i] : bounds[i + 1]]`` as bytes, for every i."""
-    size = values.dtype.itemsize
-    blob = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * size), pa.py_buffer(values)]
-    )
-    return blob.cast(pa.binary())
+def _places(n_docs: int) -> type:
+    """The type that numbers the documents of a block."""
+    return np.uint16 if n_docs <= 1 << 16 else np.uint32
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
         for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK_BYTES):
             kept = ~_BLANK[data]
             starts, ends, runs = word_spans(kept, offsets)
             found = _spans_as_strings(data, kept, starts, ends).dictionary_encode()
-            doc = np.repeat(np.arange(hi - lo), np.diff(runs))
-            code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            pairs, counts = np.unique(code * (hi - lo) + doc, return_counts=True)
             n = len(found.dictionary)
-            bounds = np.searchsorted(pairs // (hi - lo), np.arange(n + 1))
-            docs = (pairs % (hi - lo)).astype(np.uint32)
-            # The last row names the groups of the block's documents.
-            group = [batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("lang", "source")]
-            strings = pa.list_(pa.string())
+            code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            held = np.sort(code * (hi - lo) + np.repeat(np.arange(hi - lo), np.diff(runs)))
+            first = np.concatenate([[True], held[1:] != held[:-1]])[: len(held)]
+            in_docs = np.bincount(held[first] // (hi - lo), minlength=n).astype(np.int32)
+            bounds = np.searchsorted(held // (hi - lo), np.arange(n + 1)).astype(np.uint32)
+            pairs = list(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("lang", "source")), strict=True))
+            groups = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
+            of_doc = np.array([groups[pair] for pair in pairs], np.uint32)
+            one = pa.array([0, n], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n + 1, block)),
-                    pa.concat_arrays([found.dictionary.cast(pa.string()), pa.nulls(1, pa.string())]),
-                    pa.concat_arrays([_binaries(docs, bounds), pa.nulls(1, pa.binary())]),
-                    pa.concat_arrays([_binaries(counts.astype(np.uint32), bounds), pa.nulls(1, pa.binary())]),
-                    *[pa.concat_arrays([pa.nulls(n, strings), pa.array([g], strings)]) for g in group],
+                    pa.array([block]),
+                    pa.ListArray.from_arrays(one, found.dictionary.cast(pa.string())),
+                    pa.ListArray.from_arrays(one, pa.array(in_docs)),
+                    pa.array([(held % (hi - lo)).astype(_places(hi - lo)).tobytes()]),
+                    pa.array([bounds.tobytes()]),
+                    pa.array([json.dumps(list(groups)).encode()]),
+                    pa.array([of_doc.tobytes()]),
                 ],
-                names=["block", "chunk", "docs", "counts", "langs", "sources"],
+                names=["block", "chunks", "in_docs", "held", "bounds", "groups", "of_doc"],
             )
             block += 1
 
@@ -100,32 +104,32 @@ COUNTED = "lang string, source string, term string, n_docs long, n long"
 def _merge_block(rows: pa.Table) -> pa.Table:
     """Documents and occurrences by source of every term of one block."""
     rows = rows.combine_chunks()
-    named = rows.filter(rows["langs"].is_valid()).slice(0, 1)
-    group = pa.table({"lang": named["langs"].chunk(0).flatten(), "source": named["sources"].chunk(0).flatten()})
-    coded = [group[c].combine_chunks().dictionary_encode() for c in ("lang", "source")]
-    lang, source = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in coded)
-    groups, of_doc = np.unique(lang * len(coded[1].dictionary) + source, return_inverse=True)
+    named = rows.filter(rows["groups"].is_valid()).slice(0, 1)
+    groups = json.loads(named["groups"][0].as_py())
+    of_doc = np.frombuffer(named["of_doc"][0].as_py(), np.uint32).astype(np.int64)
     rows = rows.filter(rows["term"].is_valid())
     if not rows.num_rows:
         names = [n.strip().split() for n in COUNTED.split(",")]
         return pa.table({n: pa.array([], pa.string() if t == "string" else pa.int64()) for n, t in names})
+    held = np.frombuffer(named["held"][0].as_py(), _places(len(of_doc)))
+    bounds = np.frombuffer(named["bounds"][0].as_py(), np.uint32).astype(np.int64)
     term = rows["term"].combine_chunks().dictionary_encode()
-    of = lambda c: np.frombuffer(b"".join(rows[c].to_pylist()), np.uint32)
-    doc = of("docs").astype(np.int64)
-    per_row = np.array([len(x) // 4 for x in rows["docs"].to_pylist()])
-    n = of("counts").astype(np.int64) * np.repeat(rows["times"].to_numpy(), per_row)
-    code = np.repeat(term.indices.to_numpy(zero_copy_only=False).astype(np.int64), per_row)
+    first = bounds[rows["id"].to_numpy()]
+    sizes = bounds[rows["id"].to_numpy() + 1] - first
+    at = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+    times = np.repeat(rows["times"].to_numpy(), sizes)
+    code = np.repeat(term.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes)
     # First by document, where several chunks may hold one term, then by group.
-    pairs, at = np.unique(code * len(of_doc) + doc, return_inverse=True)
-    n = np.bincount(at, n).astype(np.int64)
+    pairs, at = np.unique(code * len(of_doc) + held[at], return_inverse=True)
+    n = np.bincount(at, times).astype(np.int64)
     key = (pairs // len(of_doc)) * len(groups) + of_doc[pairs % len(of_doc)]
     key, at, n_docs = np.unique(key, return_inverse=True, return_counts=True)
     n = np.bincount(at, n).astype(np.int64)
-    group = groups[key % len(groups)]
+    lang, source = (pa.array([g[k] for g in groups], pa.string()) for k in (0, 1))
     return pa.table(
         {
-            "lang": coded[0].dictionary.take(pa.array(group // len(coded[1].dictionary))),
-            "source": coded[1].dictionary.take(pa.array(group % len(coded[1].dictionary))),
+            "lang": lang.take(pa.array(key % len(groups))),
+            "source": source.take(pa.array(key % len(groups))),
             "term": term.dictionary.take(pa.array(key // len(groups))),
             "n_docs": n_docs.astype(np.int64),
             "n": n,
@@ -138,22 +142,30 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(text("lang"), text("source"), text("text"))
 
 
-def term_counts(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """``lang, source, term, n_docs, n``: distinct documents and occurrences of every term."""
-    scratch = scratch or Scratch(docs.sparkSession, "divergence")
-    postings = scratch.stage(_read(docs).mapInArrow(_postings, POSTINGS))
+def term_counts(docs: DataFrame, least_docs: int = 1, scratch: Scratch | None = None) -> DataFrame:
+    """``lang, source, term, n_docs, n``: distinct documents and occurrences of every term.
+
+    Terms that cannot be in ``least_docs`` documents of any language may be left out.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "divergence", free=True)
+    blocks = scratch.stage(_read(docs).mapInArrow(_blocks, BLOCKS))
     terms = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(_TERM), F.lit(0))
-    distinct = postings.where("chunk is not null").select("chunk").distinct()
-    terms = scratch.stage(
-        distinct.select("chunk", F.explode(terms).alias("term")).groupBy("chunk", "term").agg(F.count("*").alias("times"))
-    )
-    held = postings.join(terms, "chunk").select("block", "term", "times", "docs", "counts", "langs", "sources")
-    named = postings.where("chunk is null").select(
-        "block", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("times"),
-        "docs", "counts", "langs", "sources",
-    )
-    blocks = held.union(named).groupBy("block").applyInArrow(_merge_block, COUNTED)
-    return blocks.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    distinct = blocks.select(F.inline(F.arrays_zip(F.col("chunks").alias("chunk"), F.col("in_docs").alias("n"))))
+    distinct = distinct.groupBy("chunk").agg(F.sum("n").alias("n"))
+    split = distinct.select("chunk", "n", F.explode(terms).alias("term"))
+    every = scratch.stage(split.groupBy("chunk", "term").agg(F.count("*").alias("times"), F.first("n").alias("n")))
+    enough = every.groupBy("term").agg(F.sum("n").alias("most")).where(F.col("most") >= least_docs).select("term")
+    split = scratch.stage(every.join(enough, "term").select("chunk", "term", "times"))
+    scratch.drop(every)
+    asked = blocks.select("block", F.posexplode("chunks").alias("id", "chunk"))
+    empty = [F.lit(None).cast(t).alias(c) for c, t in (("id", "int"), ("term", "string"), ("times", "long"))]
+    packed = ["held", "bounds", "groups", "of_doc"]
+    none = [F.lit(None).cast(blocks.schema[c].dataType).alias(c) for c in packed]
+    answers = asked.join(split, "chunk").select("block", "id", "term", "times", *none)
+    merged = answers.union(blocks.select("block", *empty, *packed)).groupBy("block").applyInArrow(_merge_block, COUNTED)
+    merged = scratch.stage(merged)
+    scratch.drop(blocks, split)
+    return merged.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -216,14 +228,14 @@ def audit(docs: DataFrame, least_docs: int = 3, top: int = 200) -> DataFrame:
     Part ``pair``: every other source of the language and how far its shares lie from this
     source's. Part ``term``: the ``top`` terms that this source uses more than its language.
     """
-    scratch = Scratch(docs.sparkSession, "divergence")
-    # Written: the counts are read for the language, for the sources and for the pairs.
-    counts = scratch.stage(term_counts(docs, scratch))
+    scratch = Scratch(docs.sparkSession, "divergence", free=True)
+    counts = scratch.stage(term_counts(docs, least_docs, scratch))
     by_term = counts.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n_lang"))
     kept = scratch.stage(by_term.where(F.col("n_docs") >= least_docs).drop("n_docs"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n_lang").alias("all_lang"))
     groups = _read(docs).select("lang", "source").distinct()
-    used = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "n_lang")
+    used = scratch.stage(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "n_lang"))
+    scratch.drop(counts)
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("all_source"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     groups = groups.join(langs, "lang", "left").join(totals, ["lang", "source"], "left")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.workspace import file_system, work_dir
 
 
+#: Spark then deletes the shuffle files of an execution as soon as it ends.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Files of a staged table whose size is known, and rows of each.
 MIN_FILES, ROWS_PER_FILE = 8, 100_000
 
@@ -18,11 +20,14 @@ class Scratch:
 
     A written table cuts the lineage: a lost executor costs the tasks that ran on it and
     nothing before the last table. The folder goes when the session's JVM ends, because a
-    returned DataFrame may still read it; ``drop`` frees a table earlier.
+    returned DataFrame may still read it; ``drop`` frees a table earlier. With ``free`` the
+    shuffle files behind a written table go at once: nothing reads them again, and the driver
+    would keep them until it happens to collect garbage.
     """
 
-    def __init__(self, spark: SparkSession, label: str) -> None:
+    def __init__(self, spark: SparkSession, label: str, free: bool = False) -> None:
         self.spark = spark
+        self.free = free
         self.root = f"{work_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
         self._made = 0
@@ -40,7 +45,12 @@ class Scratch:
         if rows is not None:
             df = df.coalesce(max(MIN_FILES, -(-rows // ROWS_PER_FILE)))
         path = f"{self.root}/t{self._made}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_FREE, "false")
+        self.spark.conf.set(_FREE, "true" if self.free else before)
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_FREE, before)
         staged = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(staged)] = path
         return staged
