@@ -18,6 +18,7 @@ from . import (
     packing,
     pii,
     quality,
+    spelling_variants,
     substring_dedup,
     token_counts,
     tool_calls,
@@ -120,6 +121,10 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"), every=31)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
     "op2_decontamination": op2_decontamination,
@@ -133,4 +138,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tool_calls": op10_tool_calls,
     "op11_source_divergence": op11_source_divergence,
     "op12_substring_dedup": op12_substring_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
