@@ -27,7 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,36 +66,39 @@ def _places(n_docs: int) -> type:
     return np.uint16 if n_docs <= 1 << 16 else np.uint32
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for lo, hi, data, offsets in chunks(batch.column("text"), BLOCK_BYTES):
-            kept = ~_BLANK[data]
-            starts, ends, runs = word_spans(kept, offsets)
-            found = _spans_as_strings(data, kept, starts, ends).dictionary_encode()
-            n = len(found.dictionary)
-            code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            held = np.sort(code * (hi - lo) + np.repeat(np.arange(hi - lo), np.diff(runs)))
-            first = np.concatenate([[True], held[1:] != held[:-1]])[: len(held)]
-            in_docs = np.bincount(held[first] // (hi - lo), minlength=n).astype(np.int32)
-            bounds = np.searchsorted(held // (hi - lo), np.arange(n + 1)).astype(np.uint32)
-            pairs = list(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("lang", "source")), strict=True))
-            groups = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
-            of_doc = np.array([groups[pair] for pair in pairs], np.uint32)
-            one = pa.array([0, n], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block]),
-                    pa.ListArray.from_arrays(one, found.dictionary.cast(pa.string())),
-                    pa.ListArray.from_arrays(one, pa.array(in_docs)),
-                    pa.array([(held % (hi - lo)).astype(_places(hi - lo)).tobytes()]),
-                    pa.array([bounds.tobytes()]),
-                    pa.array([json.dumps(list(groups)).encode()]),
-                    pa.array([of_doc.tobytes()]),
-                ],
-                names=["block", "chunks", "in_docs", "held", "bounds", "groups", "of_doc"],
-            )
-            block += 1
+def _blocks(block_bytes: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for lo, hi, data, offsets in chunks(batch.column("text"), block_bytes):
+                kept = ~_BLANK[data]
+                starts, ends, runs = word_spans(kept, offsets)
+                found = _spans_as_strings(data, kept, starts, ends).dictionary_encode()
+                n = len(found.dictionary)
+                code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                held = np.sort(code * (hi - lo) + np.repeat(np.arange(hi - lo), np.diff(runs)))
+                first = np.concatenate([[True], held[1:] != held[:-1]])[: len(held)]
+                in_docs = np.bincount(held[first] // (hi - lo), minlength=n).astype(np.int32)
+                bounds = np.searchsorted(held // (hi - lo), np.arange(n + 1)).astype(np.uint32)
+                pairs = list(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("lang", "source")), strict=True))
+                groups = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
+                of_doc = np.array([groups[pair] for pair in pairs], np.uint32)
+                one = pa.array([0, n], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block]),
+                        pa.ListArray.from_arrays(one, found.dictionary.cast(pa.string())),
+                        pa.ListArray.from_arrays(one, pa.array(in_docs)),
+                        pa.array([(held % (hi - lo)).astype(_places(hi - lo)).tobytes()]),
+                        pa.array([bounds.tobytes()]),
+                        pa.array([json.dumps(list(groups)).encode()]),
+                        pa.array([of_doc.tobytes()]),
+                    ],
+                    names=["block", "chunks", "in_docs", "held", "bounds", "groups", "of_doc"],
+                )
+                block += 1
+
+    return run
 
 
 COUNTED = "lang string, source string, term string, n_docs long, n long"
@@ -148,7 +151,7 @@ def term_counts(docs: DataFrame, least_docs: int = 1, scratch: Scratch | None =
     Terms that cannot be in ``least_docs`` documents of any language may be left out.
     """
     scratch = scratch or Scratch(docs.sparkSession, "divergence", free=True)
-    blocks = scratch.stage(_read(docs).mapInArrow(_blocks, BLOCKS))
+    blocks = scratch.stage(_read(docs).mapInArrow(_blocks(BLOCK_BYTES), BLOCKS))
     terms = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(_TERM), F.lit(0))
     distinct = blocks.select(F.inline(F.arrays_zip(F.col("chunks").alias("chunk"), F.col("in_docs").alias("n"))))
     distinct = distinct.groupBy("chunk").agg(F.sum("n").alias("n"))
