@@ -16,7 +16,7 @@ from ..operators import lookups, ownership, presentation, ranking, rollups
 from ..operators.keyed import latest_by_key, upsert
 from ..operators.rollups import QUANTITY
 from ..schemas import TABLES, conform_result
-from ..sources.csv_files import REJECT
+from ..sources.csv_files import REJECT, read_named_csv
 from ..sources.ingest import KINDS, ingest, listing, load, load_report, split_rejects
 from ..sources.tables import read_table, write_table
 from ..sources.workspace import file_system, scratch_path
@@ -923,6 +923,21 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, root)
 
 
+@query
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, with their line breaks and quotes, in one CSV file that is split when read."""
+    root = scratch_path(spark, "csv")
+    # The writer trims cells, so they are trimmed before.
+    text = F.regexp_replace("text", r"^[\x00-\x20]+|[\x00-\x20]+$", "").alias("text")
+    texts = driver_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), text, "lang")
+    texts = texts.where("text <> ''")
+    texts.coalesce(1).write.options(header=True, escape='"').csv(f"{root}/whole")
+    found, files = file_system(spark, f"{root}/whole/part-*")
+    paths = [f.getPath().toString() for f in files.globStatus(found)]
+    rows = read_named_csv(spark, paths, ["doc_id", "lang", "text"])
+    return rows.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def _loaded(spark: SparkSession, root: str) -> DataFrame:
     stored = read_table(spark, root, "emissions_sources")
     return stored.select("subsector", "source_id", "start_time", "source_name", QUANTITY, "activity")

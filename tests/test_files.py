@@ -2,12 +2,14 @@
 
 import csv
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumeledger.schemas import TABLES
-from plumeledger.sources.csv_files import REJECT, discover, headers, read_named_csv
+from plumeledger.sources.csv_files import POSITION, REJECT, discover, headers, read_named_csv
+from plumeledger.sources.csv_records import ends_inside
 from plumeledger.sources.ingest import (
     KINDS,
     ingest,
@@ -278,3 +280,60 @@ def test_stream_takes_old_and_hidden_files(spark, tmp_path, rows):
     os.utime(late, (1_000_000, 1_000_000))
     assert ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint).awaitTermination(240)
     assert read_table(spark, root, "emissions_sources").count() == 6
+
+
+def cell(rng):
+    made = "".join(rng.choices(["a", "é", '"', ",", "\n", "\r\n", " ", "0"], k=rng.randint(0, 12)))
+    return made.strip(" \r\n") or "x"
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    """Splits of a few bytes, so that cells, records and headers cross them."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[0], "61")
+    spark.conf.set(names[1], "1")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_cells_with_line_breaks_across_splits(spark, tmp_path, rows, tiny_splits):
+    rng = random.Random(6)
+    expected = []
+    for i in range(12):
+        names = ["k", "v", "a long name,\nin two lines, that no split of a few bytes can hold as a whole"]
+        lines = [[f"{i}-{k}", cell(rng), cell(rng)] for k in range(rng.randint(0, 30))]
+        expected += [(str(tmp_path / f"{i}.csv"), *line) for line in lines]
+        with open(tmp_path / f"{i}.csv", "w", newline="", encoding="utf-8") as f:
+            f.write(rng.choice(["", "\n", "\r\n\n"]))
+            writer = csv.writer(f, lineterminator=rng.choice(["\n", "\r\n"]), quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+            writer.writerows([names, *lines])
+    found = read_named_csv(spark, [str(tmp_path / f"{i}.csv") for i in range(12)], names)
+    ordered = found.orderBy(*POSITION).select(F.regexp_replace("_file", "^file:", "").alias("file"), *[f"`{n}`" for n in names])
+    assert sorted(rows(ordered), key=lambda r: r[0]) == sorted(expected, key=lambda r: r[0])
+    crossing = found.select("_file", "_block").distinct().groupBy("_file").count().agg(F.max("count")).first()[0]
+    assert crossing > 5
+
+
+def test_quotes_inside_cells_open_nothing():
+    cases = {'a,5" pipe,b': False, '"a': True, '"a",b"': False, 'x,"y""': True, 'x,"y"""': False, '"a"b,"c': True, "": False, '""': False, ',"': True}
+    for line, expected in cases.items():
+        assert ends_inside(line, False) is expected, line
+    for line, expected in {"more": True, 'end",b': False, 'a""b': True, 'end","again': True, '"': False, '""': True}.items():
+        assert ends_inside(line, True) is expected, line
+
+
+def test_one_file_is_read_by_as_many_tasks_as_it_has_blocks(spark, tmp_path):
+    write(tmp_path / "1.csv", ["k", "v"], [[str(i), f"line\nbreak {i}" + "." * 40] for i in range(4000)])
+    size = (tmp_path / "1.csv").stat().st_size
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 16 + 1))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(size // 16 + 1))
+    found = read_named_csv(spark, [str(tmp_path / "1.csv")], ["k", "v"])
+    assert found.select("_block").distinct().count() == 16
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    whole = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "1.csv"))
+    assert sorted(found.select("k", "v").collect()) == sorted(whole.collect())
