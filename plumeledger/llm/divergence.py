@@ -2,11 +2,13 @@
 
 1. In blocks of some MB of whole texts, every document's white-space chunks are counted. A
    block keeps the documents of every occurrence by distinct chunk, packed into one row.
-2. Each globally distinct chunk is split into terms once. Terms whose chunks lie in too few
-   documents, even if no document held two of them, go no further.
-3. The terms are joined back to the blocks by chunk. Per block, the occurrences of a term's
-   chunks merge into its distinct documents and occurrences by source; documents lie in one
-   block only, so the sums over the blocks are exact.
+2. The distinct chunks of all blocks are dealt into buckets by hash, packed a block and bucket
+   a row. A bucket splits each globally distinct chunk into terms once and sends the terms
+   back to the blocks that hold the chunk.
+3. Per block, the occurrences of a term's chunks merge into its distinct documents and
+   occurrences by source, and go to buckets by term, where the blocks are added up. Documents
+   lie in one block only, so the sums are exact. Of a term, however common, a block sends one
+   number a source.
 4. Terms in enough documents of their language are kept, with shares of every source and of
    the whole language in parts of 1e9, rounded down.
 5. Two sources of a language are compared by ``floor((p - q) ** 2 / q)`` summed over all kept
@@ -36,21 +38,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .textbytes import chunks, word_spans
+from .textbytes import LOWER, SpanHasher, chunks, word_spans
 
 SHARE = 1_000_000_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Letters, and every byte of a code point beyond ASCII.
+_IN_TERM = np.zeros(256, bool)
+_IN_TERM[65:91] = _IN_TERM[97:123] = _IN_TERM[128:] = True
 #: A block holds about so many bytes of whole texts; one longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 #: Sources a side that a task compares, terms of a bucket, and terms compared at a time.
 TILE, BUCKET_ROWS, _AT_A_TIME = 64, 200_000, 2048
+#: Chunks of a bucket, counted once for every block that holds them.
+BUCKET_CHUNKS = 400_000
 
-# Groups are packed: a list column would be measured anew for every row sent to a task.
+# All lists are packed: a list column would be measured anew for every row sent to a task.
 BLOCKS = (
-    "block long, chunks array<string>, in_docs array<int>, held binary, bounds binary, groups binary, of_doc binary"
+    "block long, n_chunks long, chunks binary, ends binary, held binary, bounds binary, groups binary, of_doc binary"
 )
 
 
@@ -61,6 +66,33 @@ def _spans_as_strings(data: np.ndarray, kept: np.ndarray, starts: np.ndarray, en
     return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(held))
 
 
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """``values[bounds[i] : bounds[i + 1]]`` as bytes, for every i."""
+    size = values.dtype.itemsize
+    blob = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64) * size), pa.py_buffer(values)]
+    )
+    return blob.cast(pa.binary())
+
+
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some strings without nulls, and the n + 1 offsets that bound them."""
+    strings = strings.cast(pa.large_string())
+    offsets = np.frombuffer(strings.buffers()[1], np.int64, len(strings) + 1, strings.offset * 8)
+    data = strings.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _strings(data: bytes, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
 def _places(n_docs: int) -> type:
     """The type that numbers the documents of a block."""
     return np.uint16 if n_docs <= 1 << 16 else np.uint32
@@ -77,98 +109,210 @@ def _blocks(block_bytes: int) -> Callable:
                 n = len(found.dictionary)
                 code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 held = np.sort(code * (hi - lo) + np.repeat(np.arange(hi - lo), np.diff(runs)))
-                first = np.concatenate([[True], held[1:] != held[:-1]])[: len(held)]
-                in_docs = np.bincount(held[first] // (hi - lo), minlength=n).astype(np.int32)
                 bounds = np.searchsorted(held // (hi - lo), np.arange(n + 1)).astype(np.uint32)
                 pairs = list(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("lang", "source")), strict=True))
                 groups = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
                 of_doc = np.array([groups[pair] for pair in pairs], np.uint32)
-                one = pa.array([0, n], pa.int32())
+                chunk_bytes, ends = _bytes_of(found.dictionary)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block]),
-                        pa.ListArray.from_arrays(one, found.dictionary.cast(pa.string())),
-                        pa.ListArray.from_arrays(one, pa.array(in_docs)),
+                        pa.array([n]),
+                        pa.array([chunk_bytes.tobytes()], pa.binary()),
+                        pa.array([np.diff(ends).astype(np.uint32).tobytes()]),
                         pa.array([(held % (hi - lo)).astype(_places(hi - lo)).tobytes()]),
                         pa.array([bounds.tobytes()]),
                         pa.array([json.dumps(list(groups)).encode()]),
                         pa.array([of_doc.tobytes()]),
                     ],
-                    names=["block", "chunks", "in_docs", "held", "bounds", "groups", "of_doc"],
+                    names=["block", "n_chunks", "chunks", "ends", "held", "bounds", "groups", "of_doc"],
                 )
                 block += 1
 
     return run
 
 
-COUNTED = "lang string, source string, term string, n_docs long, n long"
+ASKED = "bucket long, block long, ids binary, sizes binary, chunks binary"
+ANSWERS = "block long, ids binary, times binary, sizes binary, terms binary"
 
 
-def _merge_block(rows: pa.Table) -> pa.Table:
-    """Documents and occurrences by source of every term of one block."""
-    rows = rows.combine_chunks()
-    named = rows.filter(rows["groups"].is_valid()).slice(0, 1)
-    groups = json.loads(named["groups"][0].as_py())
-    of_doc = np.frombuffer(named["of_doc"][0].as_py(), np.uint32).astype(np.int64)
-    rows = rows.filter(rows["term"].is_valid())
-    if not rows.num_rows:
-        names = [n.strip().split() for n in COUNTED.split(",")]
-        return pa.table({n: pa.array([], pa.string() if t == "string" else pa.int64()) for n, t in names})
-    held = np.frombuffer(named["held"][0].as_py(), _places(len(of_doc)))
-    bounds = np.frombuffer(named["bounds"][0].as_py(), np.uint32).astype(np.int64)
-    term = rows["term"].combine_chunks().dictionary_encode()
-    first = bounds[rows["id"].to_numpy()]
-    sizes = bounds[rows["id"].to_numpy() + 1] - first
-    at = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
-    times = np.repeat(rows["times"].to_numpy(), sizes)
-    code = np.repeat(term.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes)
-    # First by document, where several chunks may hold one term, then by group.
-    pairs, at = np.unique(code * len(of_doc) + held[at], return_inverse=True)
-    n = np.bincount(at, times).astype(np.int64)
-    key = (pairs // len(of_doc)) * len(groups) + of_doc[pairs % len(of_doc)]
-    key, at, n_docs = np.unique(key, return_inverse=True, return_counts=True)
-    n = np.bincount(at, n).astype(np.int64)
-    lang, source = (pa.array([g[k] for g in groups], pa.string()) for k in (0, 1))
+def _dealt(buckets: int) -> Callable:
+    """The chunks of every block by bucket, with their numbers in the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = SpanHasher()
+        for batch in batches:
+            for row in batch.to_pylist():
+                data = np.frombuffer(row["chunks"], np.uint8)
+                sizes = np.frombuffer(row["ends"], np.uint32).astype(np.int64)
+                ends = np.cumsum(sizes)
+                bucket = (hasher(data, ends - sizes, ends) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                moved, offsets = _bytes_of(_strings(row["chunks"], sizes).take(pa.array(order)))
+                held, first = np.unique(bucket[order], return_index=True)
+                bounds = np.append(first, len(order))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(held), pa.array(np.full(len(held), row["block"])),
+                        _binaries(order.astype(np.uint32), bounds), _binaries(sizes[order].astype(np.uint32), bounds),
+                        _binaries(moved, offsets[bounds]),
+                    ],
+                    names=["bucket", "block", "ids", "sizes", "chunks"],
+                )
+
+    return run
+
+
+def _split_chunks(rows: pa.Table) -> pa.Table:
+    """The terms of one bucket's chunks, each distinct chunk split once, for every block."""
+    sizes = _unpacked(rows["sizes"], np.uint32)
+    ids = _unpacked(rows["ids"], np.uint32)
+    chunk = _strings(b"".join(rows["chunks"].to_pylist()), sizes).dictionary_encode()
+    data, offsets = _bytes_of(chunk.dictionary)
+    data = LOWER[data]
+    kept = _IN_TERM[data]
+    starts, ends, runs = word_spans(kept, offsets)
+    term = _spans_as_strings(data, kept, starts, ends).dictionary_encode()
+    n = max(1, len(term.dictionary))
+    # A chunk's terms, each once with its number.
+    of_chunk = np.repeat(np.arange(len(runs) - 1), np.diff(runs))
+    pairs, times = np.unique(of_chunk * n + term.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    bounds = np.searchsorted(pairs // n, np.arange(len(runs)))
+    code = chunk.indices.to_numpy(zero_copy_only=False)
+    per_id = np.diff(bounds)[code]
+    at = np.arange(per_id.sum()) + np.repeat(bounds[code] - np.cumsum(per_id) + per_id, per_id)
+    # Each row of the input, a block, becomes one of the output.
+    per_row = np.array([len(x) // 4 for x in rows["ids"].to_pylist()], np.int64)
+    ends_of_row = np.concatenate([[0], np.cumsum(per_id)])[np.concatenate([[0], np.cumsum(per_row)])]
+    terms, offsets = _bytes_of(term.dictionary.take(pa.array(pairs[at] % n)))
     return pa.table(
         {
-            "lang": lang.take(pa.array(key % len(groups))),
-            "source": source.take(pa.array(key % len(groups))),
-            "term": term.dictionary.take(pa.array(key // len(groups))),
-            "n_docs": n_docs.astype(np.int64),
-            "n": n,
+            "block": rows["block"],
+            "ids": _binaries(np.repeat(ids, per_id), ends_of_row),
+            "times": _binaries(times[at].astype(np.uint32), ends_of_row),
+            "sizes": _binaries(np.diff(offsets).astype(np.uint32), ends_of_row),
+            "terms": _binaries(terms, offsets[ends_of_row]),
         }
     )
 
 
+SUMMED = "bucket long, groups binary, codes binary, n_docs binary, n binary, per_term binary, sizes binary, terms binary"
+COUNTED = "lang string, source string, term string, n_docs long, n long, n_lang long, first boolean"
+
+
+def _merge_block(buckets: int) -> Callable:
+    """Documents and occurrences by source of every term of one block, by bucket."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        named = rows.filter(rows["groups"].is_valid()).slice(0, 1)
+        n_groups = len(json.loads(named["groups"][0].as_py()))
+        of_doc = np.frombuffer(named["of_doc"][0].as_py(), np.uint32).astype(np.int64)
+        rows = rows.filter(rows["terms"].is_valid())
+        held = np.frombuffer(named["held"][0].as_py(), _places(len(of_doc)))
+        bounds = np.frombuffer(named["bounds"][0].as_py(), np.uint32).astype(np.int64)
+        term = _strings(b"".join(rows["terms"].to_pylist()), _unpacked(rows["sizes"], np.uint32)).dictionary_encode()
+        chunk = _unpacked(rows["ids"], np.uint32).astype(np.int64)
+        first = bounds[chunk]
+        sizes = bounds[chunk + 1] - first
+        at = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+        times = np.repeat(_unpacked(rows["times"], np.uint32), sizes)
+        data, offsets = _bytes_of(term.dictionary)
+        bucket = (SpanHasher()(data, offsets[:-1], offsets[1:]) % np.uint64(buckets)).astype(np.int64)
+        # Terms are numbered by bucket.
+        order = np.argsort(bucket, kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        code = np.repeat(number[term.indices.to_numpy(zero_copy_only=False)], sizes)
+        # First by document, where several chunks may hold one term, then by group.
+        pairs, at = np.unique(code * len(of_doc) + held[at], return_inverse=True)
+        n = np.bincount(at, times).astype(np.int64)
+        key = (pairs // len(of_doc)) * n_groups + of_doc[pairs % len(of_doc)]
+        key, at, n_docs = np.unique(key, return_inverse=True, return_counts=True)
+        n = np.bincount(at, n).astype(np.int64)
+        terms, offsets = _bytes_of(term.dictionary.take(pa.array(order)))
+        held, first = np.unique(bucket[order], return_index=True)
+        of_term = np.append(first, len(order))
+        of_entry = np.searchsorted(key // n_groups, of_term)
+        per_term = np.bincount(key // n_groups, minlength=len(order))
+        return pa.table(
+            {
+                "bucket": pa.array(held),
+                "groups": pa.array([named["groups"][0].as_py()] * len(held), pa.binary()),
+                "codes": _binaries((key % n_groups).astype(np.uint32), of_entry),
+                "n_docs": _binaries(n_docs.astype(np.uint32), of_entry),
+                "n": _binaries(n.astype(np.uint32), of_entry),
+                "per_term": _binaries(per_term.astype(np.uint32), of_term),
+                "sizes": _binaries(np.diff(offsets).astype(np.uint32), of_term),
+                "terms": _binaries(terms, offsets[of_term]),
+            }
+        )
+
+    return run
+
+
+def _sum_blocks(least_docs: int) -> Callable:
+    """Sums over all blocks of the terms of one bucket that enough documents of a language hold."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        names: dict[tuple[str, str], int] = {}
+        known = [
+            np.array([names.setdefault(tuple(g), len(names)) for g in json.loads(x)], np.int64)
+            for x in rows["groups"].to_pylist()
+        ]
+        group = np.concatenate(
+            [of[np.frombuffer(c, np.uint32)] for of, c in zip(known, rows["codes"].to_pylist(), strict=True)]
+        )
+        term = _strings(b"".join(rows["terms"].to_pylist()), _unpacked(rows["sizes"], np.uint32)).dictionary_encode()
+        code = np.repeat(term.indices.to_numpy(zero_copy_only=False).astype(np.int64), _unpacked(rows["per_term"], np.uint32))
+        key, at = np.unique(code * len(names) + group, return_inverse=True)
+        summed = lambda c, at, size: np.bincount(at, c, size).astype(np.int64)
+        n_docs, n = (summed(_unpacked(rows[c], np.uint32), at, len(key)) for c in ("n_docs", "n"))
+        langs = {lang: k for k, lang in enumerate(dict.fromkeys(lang for lang, _ in names))}
+        of_lang = np.array([langs[lang] for lang, _ in names], np.int64)
+        code, group = key // len(names), key % len(names)
+        _, first, at = np.unique(code * len(langs) + of_lang[group], return_index=True, return_inverse=True)
+        n_lang = summed(n, at, len(first))[at]
+        enough = np.flatnonzero(summed(n_docs, at, len(first))[at] >= least_docs)
+        lang, source = (pa.array([g[k] for g in names], pa.string()) for k in (0, 1))
+        place = pa.array(group[enough])
+        return pa.table(
+            {
+                "lang": lang.take(place),
+                "source": source.take(place),
+                "term": term.dictionary.take(pa.array(code[enough])).cast(pa.string()),
+                "n_docs": n_docs[enough],
+                "n": n[enough],
+                "n_lang": n_lang[enough],
+                "first": pa.array(np.isin(enough, first)),
+            }
+        )
+
+    return run
+
+
 def _read(docs: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     return docs.select(text("lang"), text("source"), text("text"))
 
 
 def term_counts(docs: DataFrame, least_docs: int = 1, scratch: Scratch | None = None) -> DataFrame:
-    """``lang, source, term, n_docs, n``: distinct documents and occurrences of every term.
-
-    Terms that cannot be in ``least_docs`` documents of any language may be left out.
-    """
+    """``lang, source, term, n_docs, n, n_lang, first`` of every term in at least ``least_docs``
+    documents of a language: distinct documents and occurrences in the source, occurrences in
+    the language. ``first`` marks one source of every term and language."""
     scratch = scratch or Scratch(docs.sparkSession, "divergence", free=True)
     blocks = scratch.stage(_read(docs).mapInArrow(_blocks(BLOCK_BYTES), BLOCKS))
-    terms = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(_TERM), F.lit(0))
-    distinct = blocks.select(F.inline(F.arrays_zip(F.col("chunks").alias("chunk"), F.col("in_docs").alias("n"))))
-    distinct = distinct.groupBy("chunk").agg(F.sum("n").alias("n"))
-    split = distinct.select("chunk", "n", F.explode(terms).alias("term"))
-    every = scratch.stage(split.groupBy("chunk", "term").agg(F.count("*").alias("times"), F.first("n").alias("n")))
-    enough = every.groupBy("term").agg(F.sum("n").alias("most")).where(F.col("most") >= least_docs).select("term")
-    split = scratch.stage(every.join(enough, "term").select("chunk", "term", "times"))
-    scratch.drop(every)
-    asked = blocks.select("block", F.posexplode("chunks").alias("id", "chunk"))
-    empty = [F.lit(None).cast(t).alias(c) for c, t in (("id", "int"), ("term", "string"), ("times", "long"))]
-    packed = ["held", "bounds", "groups", "of_doc"]
-    none = [F.lit(None).cast(blocks.schema[c].dataType).alias(c) for c in packed]
-    answers = asked.join(split, "chunk").select("block", "id", "term", "times", *none)
-    merged = answers.union(blocks.select("block", *empty, *packed)).groupBy("block").applyInArrow(_merge_block, COUNTED)
-    merged = scratch.stage(merged)
-    scratch.drop(blocks, split)
-    return merged.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    buckets = max(8, -(-(blocks.agg(F.sum("n_chunks")).first()[0] or 0) // BUCKET_CHUNKS))
+    asked = blocks.select("block", "chunks", "ends").mapInArrow(_dealt(buckets), ASKED)
+    answers = asked.groupBy("bucket").applyInArrow(_split_chunks, ANSWERS)
+    kept = ["held", "bounds", "groups", "of_doc"]
+    none = lambda names: [F.lit(None).cast("binary").alias(c) for c in names]
+    packed = ["ids", "times", "sizes", "terms"]
+    whole = answers.select("block", *packed, *none(kept)).union(blocks.select("block", *none(packed), *kept))
+    merged = scratch.stage(whole.groupBy("block").applyInArrow(_merge_block(buckets), SUMMED))
+    scratch.drop(blocks)
+    return merged.groupBy("bucket").applyInArrow(_sum_blocks(least_docs), COUNTED)
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -190,14 +334,15 @@ def _step(p: Column, q: Column) -> Column:
 def _compare(rows: pa.Table) -> pa.Table:
     """Sums over one bucket of terms, less those of terms that occur in neither source.
 
-    ``rows``: ``side`` (0 or 1), ``source`` number, ``p`` of a term, ``p0`` of an absent term.
+    ``rows``: ``side`` (0 or 1), ``source`` number, ``p`` of a term, ``p0`` of an absent term. A
+    tile that is compared with itself has one side only.
     """
     lang, columns = rows["lang"][0].as_py(), {}
     term = rows["term"].combine_chunks().dictionary_encode()
     code = term.indices.to_numpy(zero_copy_only=False)
     side, source, p, p0 = (rows[c].to_numpy() for c in ("side", "source", "p", "p0"))
     tables = []
-    for k in (0, 1):
+    for k in (0, 1) if (side == 1).any() else (0, 0):
         mine = side == k
         of, first, at = np.unique(source[mine], return_index=True, return_inverse=True)
         tables.append((of, p0[mine][first], code[mine], at, p[mine]))
@@ -232,13 +377,10 @@ def audit(docs: DataFrame, least_docs: int = 3, top: int = 200) -> DataFrame:
     source's. Part ``term``: the ``top`` terms that this source uses more than its language.
     """
     scratch = Scratch(docs.sparkSession, "divergence", free=True)
-    counts = scratch.stage(term_counts(docs, least_docs, scratch))
-    by_term = counts.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n_lang"))
-    kept = scratch.stage(by_term.where(F.col("n_docs") >= least_docs).drop("n_docs"))
-    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n_lang").alias("all_lang"))
+    # Written: the counts are read for the language, for the sources and for the pairs.
+    used = scratch.stage(term_counts(docs, least_docs, scratch).drop("n_docs"))
+    langs = used.where("first").groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n_lang").alias("all_lang"))
     groups = _read(docs).select("lang", "source").distinct()
-    used = scratch.stage(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "n_lang"))
-    scratch.drop(counts)
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("all_source"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     groups = groups.join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
@@ -276,7 +418,7 @@ def audit(docs: DataFrame, least_docs: int = 3, top: int = 200) -> DataFrame:
     blank = blank.withColumn("bucket", F.explode(buckets))
     left = left.union(blank.select(*fixed, F.lit(0).alias("side"), tile.alias("i"), every.alias("j")))
     right = right.union(blank.select(*fixed, F.lit(1).alias("side"), tile.alias("j"), every.alias("i")))
-    sums = left.unionByName(right).groupBy("lang", "bucket", "i", "j")
+    sums = left.unionByName(right.where("i <> j")).groupBy("lang", "bucket", "i", "j")
     sums = sums.applyInArrow(_compare, "lang string, a long, b long, value long")
     sums = sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("beyond"))
 

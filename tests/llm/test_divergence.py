@@ -61,16 +61,21 @@ def test_same_as_plain_version(spark, monkeypatch, tile, block):
     assert any(x[2] == "pair" and x[4] == 0 for x in found)
 
 
-def test_term_counts(spark):
+@pytest.mark.parametrize("least", [1, 4])
+def test_term_counts(spark, least):
     rows = made(5, 120)
     df = spark.createDataFrame(rows, "lang string, source string, text string").repartition(3)
-    n, in_docs = Counter(), Counter()
+    n, in_docs, docs_of_lang, n_lang = Counter(), Counter(), Counter(), Counter()
     for lang, source, text in rows:
         terms = terms_of(text)
         n.update((lang or "", source or "", t) for t in terms)
+        n_lang.update((lang or "", t) for t in terms)
         in_docs.update((lang or "", source or "", t) for t in set(terms))
-    found = {tuple(r)[:3]: (r["n_docs"], r["n"]) for r in divergence.term_counts(df).collect()}
-    assert found == {k: (in_docs[k], n[k]) for k in n}
+        docs_of_lang.update((lang or "", t) for t in set(terms))
+    found = divergence.term_counts(df, least).collect()
+    kept = {k for k in n if docs_of_lang[k[0], k[2]] >= least}
+    assert {tuple(r)[:6] for r in found} == {(*k, in_docs[k], n[k], n_lang[k[0], k[2]]) for k in kept}
+    assert Counter((r["lang"], r["term"]) for r in found if r["first"]) == Counter({(k[0], k[2]) for k in kept})
 
 
 def test_shares_beyond_64_bits(spark):
