@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import stage
+from .exact import finished, merged, partial
 from .keyed import latest_by_key
 from .rollups import QUANTITY
 
@@ -44,13 +45,19 @@ def attribute(source_years: DataFrame, controlling: DataFrame) -> DataFrame:
     return source_years.join(controlling, "source_id")
 
 
-def owner_year(source_years: DataFrame, controlling: DataFrame) -> DataFrame:
+def owner_year(source_years: DataFrame, controlling: DataFrame, exact: bool = False) -> DataFrame:
     """Each facility's whole total credited to its owner, summed per owner and year.
 
     ``source_count`` counts facility rows: a facility in two subsectors counts twice. The
     rows are first summed per facility and year, which bounds what any facility, however
     many variants it has, brings to the join.
     """
+    if exact:
+        # The bins of the sums are joined, so that an owner's total is rounded once.
+        rows = partial(source_years, ["source_id", "year"], QUANTITY)
+        owned = merged(attribute(rows, controlling), ["owner", "year"])
+        count = F.sum("n_rows").cast("int").alias("source_count")
+        return finished(owned, ["owner", "year"], QUANTITY, count).select("owner", "year", QUANTITY, "source_count")
     per_source = source_years.groupBy("source_id", "year").agg(
         F.sum(QUANTITY).alias(QUANTITY), F.count("source_id").alias("rows")
     )

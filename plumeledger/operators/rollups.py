@@ -2,17 +2,20 @@
 
 All are plain grouped sums: every map task combines its rows before the shuffle, so a
 group that holds a large part of all rows costs one row per task there. No filter on gas
-or granularity is applied unless asked for.
+or granularity is applied unless asked for. With ``exact`` totals are the nearest doubles to
+the true sums, the same under any partitioning (see ``exact``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .exact import exact_sum
+
 QUANTITY = "emissions_quantity"
 FACILITY_YEAR = ("subsector", "year", "source_id", "source_name", "lat", "lon")
 
@@ -21,40 +24,35 @@ def _of_gas(df: DataFrame, gas: str | None) -> DataFrame:
     return df if gas is None else df.filter(F.col("gas") == gas)
 
 
-def sector_year(country: DataFrame, gas: str | None = None) -> DataFrame:
+def _total(df: DataFrame, keys: Sequence[str], name: str, exact: bool) -> DataFrame:
+    if exact:
+        return exact_sum(df, keys, QUANTITY, name)
+    return df.groupBy(*keys).agg(F.sum(QUANTITY).alias(name))
+
+
+def sector_year(country: DataFrame, gas: str | None = None, exact: bool = False) -> DataFrame:
     """Annual country rows -> total per country, year and sector."""
-    return (
-        _of_gas(country, gas)
-        .groupBy("iso3_country", "year", "sector")
-        .agg(F.sum(QUANTITY).alias(QUANTITY))
-    )
+    return _total(_of_gas(country, gas), ("iso3_country", "year", "sector"), QUANTITY, exact)
 
 
-def national_total(sector_years: DataFrame) -> DataFrame:
+def national_total(sector_years: DataFrame, exact: bool = False) -> DataFrame:
     """Total per year over all countries and sectors, by year."""
-    return sector_years.groupBy("year").agg(F.sum(QUANTITY).alias("national_total")).orderBy("year")
+    return _total(sector_years, ("year",), "national_total", exact).orderBy("year")
 
 
-def source_year(sources: DataFrame, gas: str | None = None) -> DataFrame:
+def source_year(sources: DataFrame, gas: str | None = None, exact: bool = False) -> DataFrame:
     """Facility-month rows -> annual total per facility.
 
     Name and position belong to the group, null being a value like any other: a facility
     renamed or moved within a year gives one row per variant.
     """
-    return (
-        _of_gas(sources, gas)
-        .select(
-            "subsector",
-            F.year("start_time").alias("year"),
-            "source_id",
-            "source_name",
-            "lat",
-            "lon",
-            QUANTITY,
-        )
-        .groupBy(*FACILITY_YEAR)
-        .agg(F.sum(QUANTITY).alias(QUANTITY))
-    )
+    return _total(facility_rows(_of_gas(sources, gas)), FACILITY_YEAR, QUANTITY, exact)
+
+
+def facility_rows(sources: DataFrame) -> DataFrame:
+    """Facility-month rows with the columns that the annual rollup groups by."""
+    year = F.year("start_time").alias("year")
+    return sources.select("subsector", year, "source_id", "source_name", "lat", "lon", QUANTITY)
 
 
 def source_year_by_key(source_years: DataFrame) -> DataFrame:

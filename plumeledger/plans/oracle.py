@@ -26,6 +26,14 @@ PRICE = (
     "when 'A' then l.l_extendedprice else 0.0 end"
 )
 
+def _exact(column: str) -> str:
+    """The double nearest to the exact sum of doubles that are 0 or 0.001 and more in size: they
+    are whole numbers of 2 ** -63, added as such and rounded once, by one addition."""
+    total = f"sum(cast({column} * 9223372036854775808.0 as hugeint))"
+    high, low = f"({total} // 1099511627776 // 4096)", f"({total} % (1099511627776 * 4096))"
+    return f"(cast({high} as double) * 4503599627370496.0 + cast({low} as double)) / 9223372036854775808.0"
+
+
 # Name -> (steps it needs, SQL).
 STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "sources": (
@@ -103,6 +111,14 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
         from country group by iso3_country, year, sector
         """,
     ),
+    "source_year_exact": (
+        ("sources",),
+        f"""
+        select subsector, cast(year(start_time) as integer) as year, source_id, source_name, lat, lon,
+               {_exact('emissions_quantity')} as emissions_quantity
+        from sources group by all
+        """,
+    ),
     "source_year": (
         ("sources",),
         """
@@ -862,6 +878,30 @@ ORACLE: dict[str, str] = {
         order by start_time limit 12
         """,
     ),
+    "sector_year_exact": _with(
+        ("sources",),
+        f"""
+        select '{ISO}' as iso3_country, cast(year(start_time) as integer) as year, subsector as sector,
+               {_exact('emissions_quantity')} as emissions_quantity
+        from sources group by all
+        """,
+    ),
+    "national_total_exact": _with(
+        ("sources",),
+        f"""
+        select cast(year(start_time) as integer) as year, {_exact('emissions_quantity')} as national_total
+        from sources group by all
+        """,
+    ),
+    "source_year_exact": _with(("source_year_exact",), "select * from source_year_exact"),
+    "owner_year_exact": _with(
+        ("source_year_exact", "controlling"),
+        f"""
+        select owner, year, {_exact('emissions_quantity')} as emissions_quantity,
+               cast(count(*) as integer) as source_count
+        from source_year_exact join controlling using (source_id) group by owner, year
+        """,
+    ),
     "csv_to_table": _with(("loaded",), "select * from loaded"),
     "stream_to_table": _with(("loaded",), "select * from loaded"),
     "csv_line_breaks": r"""

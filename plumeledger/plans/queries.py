@@ -157,6 +157,35 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- exact rollups: sums that do not depend on the order of addition, not rounded ---
+
+
+@query
+def sector_year_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = standins.sources(spark, sf_dir).select(
+        F.col("subsector").alias("sector"), F.year("start_time").alias("year"), QUANTITY
+    )
+    return rollups.sector_year(lines.withColumn("iso3_country", F.lit(ISO)), exact=True)
+
+
+@query
+def national_total_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = standins.sources(spark, sf_dir).select(F.year("start_time").alias("year"), QUANTITY)
+    return rollups.national_total(lines, exact=True)
+
+
+@query
+def source_year_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.source_year(standins.sources(spark, sf_dir), exact=True)
+
+
+@query
+def owner_year_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact totals of exact facility years."""
+    years = rollups.source_year(standins.sources(spark, sf_dir), exact=True)
+    return ownership.owner_year(years, _controlling(spark, sf_dir), exact=True)
+
+
 # --- owners ------------------------------------------------------------------
 
 
