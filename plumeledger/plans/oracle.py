@@ -902,6 +902,38 @@ ORACLE: dict[str, str] = {
         from source_year_exact join controlling using (source_id) group by owner, year
         """,
     ),
+    "incremental_rollups": _with(
+        ("monthly", "ownership"),
+        f"""
+        , batched as (
+          select subsector, cast(year(start_time) as integer) as year, source_id, lat, lon,
+                 case when emissions_quantity > 0 and activity > 40 then source_name || ' (new)'
+                      else source_name end as source_name,
+                 case when emissions_quantity > 0 and activity > 25 then 2 * emissions_quantity
+                      when emissions_quantity > 0 and activity between 10 and 25 then -emissions_quantity
+                      else emissions_quantity end as q
+          from monthly),
+        years as (
+          select subsector, year, source_id, source_name, lat, lon, {_exact('q')} as q from batched group by all),
+        ranked as (
+          select *, row_number() over (partition by subsector, year order by q desc nulls last, source_id,
+                      source_name, lat nulls first, lon nulls first) as r,
+                 row_number() over (partition by subsector, year, source_id order by q desc nulls last,
+                      source_name, lat nulls first, lon nulls first) as v
+          from years)
+        select 'source_year' as rollup, subsector as label, year, source_id as number, source_name as name,
+               q as emissions_quantity from ranked where v = 1
+        union all
+        select 'top_sources', subsector, year, r, source_name, q from ranked where r <= 20
+        union all
+        select 'owner_year', owner, year, count(*), '', {_exact('q')}
+        from years join (select source_id, parent_name as owner
+                         from (select *, row_number() over (partition by source_id
+                                      order by coalesce(overall_share_percent, 0) desc, parent_name) as rn
+                               from ownership) o where rn = 1) c using (source_id)
+        group by owner, year
+        """,
+    ),
     "csv_to_table": _with(("loaded",), "select * from loaded"),
     "stream_to_table": _with(("loaded",), "select * from loaded"),
     "csv_line_breaks": r"""

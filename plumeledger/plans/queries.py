@@ -21,7 +21,7 @@ from ..sources.ingest import KINDS, ingest, listing, load, load_report, split_re
 from ..sources.tables import read_table, write_table
 from ..sources.workspace import file_system, scratch_path
 from ..streaming.incremental import ingest_stream
-from . import standins
+from . import changes, standins
 from .analysis import ROLLUPS, run_analysis
 from .standins import as_table, driver_table, rounded
 
@@ -725,6 +725,37 @@ def analysis_owner_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_table(spark, root, "analysis_owner_trend"))
 
 
+def _batches(months: DataFrame) -> list[DataFrame]:
+    """Facility months in three batches: the positive ones; the others, and some of the first
+    doubled or renamed; and some of the first turned negative."""
+    positive, activity = F.col(QUANTITY) > 0, F.col("activity")
+    renamed = F.when(activity > 40, F.concat("source_name", F.lit(" (new)"))).otherwise(F.col("source_name"))
+    doubled = months.where(positive & (activity > 25)).withColumns({QUANTITY: F.col(QUANTITY) * 2, "source_name": renamed})
+    turned = months.where(positive & activity.between(10, 25)).withColumn(QUANTITY, -F.col(QUANTITY))
+    return [months.where(positive), months.where(~positive).unionByName(doubled), turned]
+
+
+@query
+def incremental_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollups after three batches, of which the second and third came as changes."""
+    root = scratch_path(spark, "tables")
+    first, *later = _batches(as_table(_months(spark, sf_dir), "emissions_sources"))
+    write_table(first, root, "emissions_sources")
+    name = "emissions_sources_ownership"
+    write_table(as_table(standins.ownership(spark, sf_dir), name), root, name)
+    changes.start(spark, root)
+    for batch in later:
+        changes.apply(spark, root, batch)
+    rows = lambda name, *columns: read_table(spark, root, f"analysis_{name}").select(
+        F.lit(name).alias("rollup"), *[F.expr(c) for c in columns], QUANTITY
+    )
+    return (
+        rows("source_year", "subsector as label", "year", "source_id as number", "source_name as name")
+        .unionByName(rows("top_sources", "subsector as label", "year", "cast(rank as bigint) as number", "source_name as name"))
+        .unionByName(rows("owner_year", "owner as label", "year", "cast(source_count as bigint) as number", "'' as name"))
+    )
+
+
 # --- lookups on stored tables ------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""The nine keyed tables: columns, types, keys and storage layout.
+"""The nine keyed tables, and two of state: columns, types, keys and storage layout.
 
 A table's primary key is its partition columns followed by its cluster columns. Lookups
 always name the partition columns, so these become directories (partition pruning); files
@@ -50,6 +50,8 @@ def _columns(**kinds: str) -> dict[str, str]:
 
 _START_YEAR = {"start_year": ("int", "year(start_time)")}
 
+_SUMS = dict.fromkeys(("high", "middle", "low", "n_values", "n_nan", "n_above", "n_below", "n_rows"), "bigint")
+
 # Table names, column names, types and keys.
 TABLES: dict[str, Table] = {
     "country_emissions": Table(
@@ -206,6 +208,29 @@ TABLES: dict[str, Table] = {
         cluster=("year",),
         directories=(),
     ),
+    # Digits of exact sums, from which the rollups are kept up; see plans.changes.
+    "state_source_year": Table(
+        columns=_columns(
+            subsector="string",
+            year="int",
+            source_id="bigint",
+            variant="string",
+            bin="int",
+            source_name="string",
+            lat="double",
+            lon="double",
+            **_SUMS,
+        ),
+        partition=("subsector", "year"),
+        cluster=("source_id", "variant", "bin"),
+        directories=("subsector", "year"),
+    ),
+    "state_owner_year": Table(
+        columns=_columns(owner="string", year="int", bin="int", **_SUMS),
+        partition=("year",),
+        cluster=("owner", "bin"),
+        directories=("year",),
+    ),
 }
 
 

@@ -84,6 +84,11 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     return bool(_snapshots(spark, root, name))
 
 
+def snapshot_number(spark: SparkSession, root: str, name: str) -> int:
+    """The number of the newest snapshot; -1 if there is no table yet."""
+    return max(_snapshots(spark, root, name), default=-1)
+
+
 def _leaves(spark: SparkSession, root: str, name: str, batch: str) -> list[str]:
     """Folders of a batch that hold data files, relative to the table. The driver lists as many
     entries as the batch has folders, all of which it keeps in its file index anyway."""
