@@ -47,7 +47,7 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[65:91] = _IN_TERM[97:123] = _IN_TERM[128:] = True
 #: A block holds about so many bytes of whole texts; one longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Sources a side that a task compares, terms of a bucket, and terms compared at a time.
 TILE, BUCKET_ROWS, _AT_A_TIME = 64, 200_000, 2048
 #: Chunks of a bucket, counted once for every block that holds them.
