@@ -934,6 +934,39 @@ ORACLE: dict[str, str] = {
         group by owner, year
         """,
     ),
+    "sql_functions": _with(
+        ("monthly_owner", "timeseries", "country", "monthly", "monthly_year", "ownership"),
+        f"""
+        select 'top_owners' as lookup, owner as label, source_count as number, emissions_quantity as quantity
+        from monthly_owner where year = {YEAR}
+        union all select 'timeseries', sector, year, emissions_quantity from timeseries
+        union all select 'subsectors', subsector, year, emissions_quantity from country
+                  where sector = '{SECTOR}' and iso3_country = '{ISO}'
+        union all select distinct 'sectors', sector, 0, cast(0 as double) from country where iso3_country = '{ISO}'
+        union all select 'months', strftime(start_time, '%Y-%m-%d'), cast(activity as integer), round(emissions_quantity, 2)
+                  from monthly where subsector = '{SUBSECTOR}' and source_id = {SOURCE}
+        union all select 'owners', parent_name, {SOURCE}, coalesce(overall_share_percent, 0.0)
+                  from ownership where source_subsector = '{SUBSECTOR}' and source_id = {SOURCE}
+        union all select 'trend', owner, year, emissions_quantity from monthly_owner
+                  where owner in (select owner from monthly_owner where year = {YEAR})
+        union all select 'points', subsector, cast(source_id as integer), round(emissions_quantity, 2) from monthly_year
+        union all select 'top', subsector, cast(unnest(generate_series(1, least(n, 20))) as integer), cast(0 as double)
+                  from (select subsector, year, count(*) as n from monthly_year group by all)
+        """,
+    ),
+    "bucketed_owners": _with(
+        ("sources", "controlling"),
+        """
+        select owner, source_id, count(*) as rows, max(emissions_quantity) as largest
+        from sources join controlling using (source_id) group by owner, source_id
+        """,
+    ),
+    "bloom_lookup": _with(
+        ("sources",),
+        f"""
+        select subsector, source_id, start_time, emissions_quantity, activity from sources where source_id = {SOURCE}
+        """,
+    ),
     "csv_to_table": _with(("loaded",), "select * from loaded"),
     "stream_to_table": _with(("loaded",), "select * from loaded"),
     "csv_line_breaks": r"""

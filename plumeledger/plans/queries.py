@@ -6,6 +6,7 @@ Sums of doubles are rounded to cents before anything is ranked by them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,10 @@ from ..operators import lookups, ownership, presentation, ranking, rollups
 from ..operators.keyed import latest_by_key, upsert
 from ..operators.rollups import QUANTITY
 from ..schemas import TABLES, conform_result
+from ..sources.catalog import register
 from ..sources.csv_files import REJECT, read_named_csv
 from ..sources.ingest import KINDS, ingest, listing, load, load_report, split_rejects
+from ..sources.layouts import join_bucketed, write_bucketed, write_with_blooms
 from ..sources.tables import read_table, write_table
 from ..sources.workspace import file_system, scratch_path
 from ..streaming.incremental import ingest_stream
@@ -691,13 +694,23 @@ def refresh_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, root, "analysis_top_sources")
 
 
-#: Tables that a session has analysed already: (application, folder) -> root.
-_ROOTS: dict[tuple[str, str], str] = {}
+#: Tables that a session has analysed already: (application, files) -> root.
+_ROOTS: dict[tuple[str, tuple], str] = {}
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and time of every data file of the driver tables."""
+    found = []
+    for pattern in ("*.parquet", "*.parquet/*.parquet"):
+        path, files = file_system(spark, f"{sf_dir}/{pattern}")
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files.globStatus(path) or []]
+    return tuple(sorted(found))
 
 
 def _analysed(spark: SparkSession, sf_dir: str) -> str:
-    """The root of a set of tables, base and rollup, made once a session by the batch job."""
-    held = (spark.sparkContext.applicationId, sf_dir)
+    """The root of a set of tables, base and rollup, made once by the batch job for as long as
+    the files stay the same; all ``stored_*`` queries share it."""
+    held = (spark.sparkContext.applicationId, _files(spark, sf_dir))
     if held not in _ROOTS:
         _ROOTS[held] = _analyse(spark, sf_dir)
     return _ROOTS[held]
@@ -818,6 +831,55 @@ def stored_facility_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.facility_months(_table(spark, sf_dir, "emissions_sources"), SUBSECTOR, SOURCE)
 
 
+@query
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookups as SQL text: one by one, and for many parameters by lateral joins."""
+    register(spark, _analysed(spark, sf_dir))
+    return spark.sql(
+        f"""
+        SELECT 'top_owners' AS lookup, owner AS label, source_count AS number, round(emissions_quantity, 2) AS quantity
+        FROM top_owners_of({YEAR})
+        UNION ALL SELECT 'timeseries', sector, year, round(emissions_quantity, 2) FROM timeseries_of('{ISO}')
+        UNION ALL SELECT 'subsectors', subsector, year, round(emissions_quantity, 2) FROM subsectors_of('{SECTOR}', '{ISO}')
+        UNION ALL SELECT 'sectors', sector, 0, 0.0D FROM sectors_of('{ISO}')
+        UNION ALL SELECT 'months', date_format(start_time, 'yyyy-MM-dd'), cast(activity AS int), round(emissions_quantity, 2)
+                  FROM months_of('{SUBSECTOR}', {SOURCE})
+        UNION ALL SELECT 'owners', parent_name, {SOURCE}, coalesce(overall_share_percent, 0.0D)
+                  FROM owners_of('{SUBSECTOR}', {SOURCE})
+        UNION ALL SELECT 'trend', w.owner, t.year, round(t.emissions_quantity, 2)
+                  FROM (SELECT owner FROM analysis_owner_year WHERE year = {YEAR}) w, LATERAL trend_of(w.owner) t
+        UNION ALL SELECT 'points', w.subsector, cast(p.source_id AS int), round(p.emissions_quantity, 2)
+                  FROM (SELECT DISTINCT subsector, year FROM analysis_top_sources) w, LATERAL points_of(w.subsector, w.year) p
+        UNION ALL SELECT 'top', w.subsector, t.rank, 0.0D
+                  FROM (SELECT DISTINCT subsector, year FROM analysis_top_sources) w, LATERAL top_of(w.subsector, w.year) t
+        """
+    )
+
+
+# --- layouts: buckets and bloom filters ---
+
+
+@query
+def bucketed_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facility months with their owners, both sides stored in buckets of the facility."""
+    tables = {}
+    for label, df in {"months": standins.sources(spark, sf_dir), "owners": _controlling(spark, sf_dir)}.items():
+        tables[label] = write_bucketed(
+            df, f"pl_{label}_{uuid.uuid4().hex}", f"{scratch_path(spark, 'buckets')}/t", "source_id", 16
+        )
+    joined = join_bucketed(tables["months"], tables["owners"], "source_id")
+    return joined.groupBy("owner", "source_id").agg(F.count("*").alias("rows"), F.max(QUANTITY).alias("largest"))
+
+
+@query
+def bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months of one facility from files that are sorted by subsector."""
+    rows = standins.sources(spark, sf_dir).select("subsector", "source_id", "start_time", QUANTITY, "activity")
+    rows = rows.repartitionByRange(8, "subsector").sortWithinPartitions("subsector")
+    stored = write_with_blooms(rows, scratch_path(spark, "blooms") + "/t", ["source_id"], 100_000)
+    return stored.where(F.col("source_id") == SOURCE)
+
+
 # --- CSV files ---------------------------------------------------------------
 
 
