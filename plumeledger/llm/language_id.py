@@ -78,7 +78,15 @@ def codewords(k: int) -> np.ndarray:
         column = np.arange(1, 2 ** max(0, k - 1))
         return np.array([np.ones(len(column), int)] + [1 - 2 * ((column >> i) & 1) for i in range(k - 1)])
     random = np.random.Generator(np.random.PCG64(13))
-    codes = [random.choice([-1, 1], (k, 10 * int(np.ceil(np.log2(k))))) for _ in range(50)]
+
+    def column() -> np.ndarray:
+        # A bit that is the same for all languages would have nothing to learn from.
+        while True:
+            drawn = random.choice([-1, 1], k)
+            if abs(drawn.sum()) < k:
+                return drawn
+
+    codes = [np.stack([column() for _ in range(10 * int(np.ceil(np.log2(k))))], 1) for _ in range(50)]
     apart = [(c @ c.T - 2 * c.shape[1] * np.eye(k)).max() for c in codes]
     return codes[int(np.argmin(apart))]
 

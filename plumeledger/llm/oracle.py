@@ -101,6 +101,10 @@ from checked
 union all
 select conv_id, id, turn, null, 'orphan', turn, 0, 'no call', '{"id":' || to_json(id) || ',"result":' || to_json(text) || '}'
 from results where id not in (select id from calls)
+union all
+select conv_id, null, turn, null, 'no role', turn, 0, 'no role',
+  case when text is not null then '{"text":' || to_json(text) || '}' end
+from t where role is null or role not in ('user', 'system', 'assistant')
 """
 
 DIVERGENCE = rf"""

@@ -104,8 +104,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = tool_calls.calls_of_turns(table(spark, sf_dir, "conversations"))
-    found = tool_calls.format_calls(calls, results, tool_calls.TURN_SCHEMAS)
+    found = tool_calls.format_turns(table(spark, sf_dir, "conversations"), tool_calls.TURN_SCHEMAS)
     return found.select(
         "conv_id", "call_id", "turn", "name", "status", "rank", "missing",
         F.array_join("errors", ",").alias("errors"), "message",

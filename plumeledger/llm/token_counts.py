@@ -26,9 +26,8 @@ import base64
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .textbytes import text_buffer
@@ -40,20 +39,6 @@ COUNTS = (
 )
 
 
-def lines(text: Column) -> Column:
-    """The lines of a text as sections, each with the line break that ends it."""
-    pieces = F.split(text, "\n", -1)
-    none = F.array().cast("array<struct<name:string,start:long,end:long>>")
-
-    def step(done: Column, piece: Column) -> Column:
-        end = done["at"] + F.char_length(piece) + 1
-        one = F.struct(F.lit("line").alias("name"), done["at"].alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(one)).alias("found"))
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
-    return F.aggregate(pieces, start, step, lambda done: done["found"])
-
-
 def fields(df: DataFrame, columns: list[str], separator: str = "\n") -> DataFrame:
     """``df`` with several text columns joined as ``text`` and listed as ``sections``."""
     texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]
@@ -109,60 +94,71 @@ def attribute(token_ends: np.ndarray, bounds: np.ndarray, rule: str) -> tuple[np
     return inside, touched
 
 
-def _sections_of(given: list | None, n_chars: int) -> list[tuple]:
-    """Sections in order, with unnamed ones for what lies between them: name, number, start, end."""
-    out, at = [], 0
+def _lines(raw: np.ndarray, chars: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The lines of a text, each with the line break that ends it, as ``_sections_of`` gives them."""
+    stops = np.append(np.flatnonzero(raw == 10) + 1, len(raw))
+    spans = np.stack([np.concatenate([[0], stops[:-1]]), stops], 1)
+    return ["line"] * len(stops), np.arange(len(stops)), np.searchsorted(chars, spans), spans
+
+
+def _sections_of(given: list | None, chars: np.ndarray) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Sections in order, with unnamed ones for what lies between them: names, numbers (-1 for
+    none), and bounds in characters and in bytes."""
+    out, at, n_chars = [], 0, len(chars) - 1
     for number, s in enumerate(given or []):
         start, end = min(s["start"], n_chars), min(s["end"], n_chars)
         if start < at or end < start:
             raise ValueError("sections must be in order and must not overlap")
         if start > at:
-            out.append((None, None, at, start))
+            out.append((None, -1, at, start))
         out.append((s["name"], number, start, end))
         at = end
     if at < n_chars:
-        out.append((None, None, at, n_chars))
-    return out
+        out.append((None, -1, at, n_chars))
+    spans = np.array([s[2:] for s in out], np.int64).reshape(-1, 2)
+    return [s[0] for s in out], np.array([s[1] for s in out], np.int64), spans, chars[spans]
 
 
 def _count(ranks_path: str, pattern: str, rule: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, size = encoder(ranks_path, pattern)
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("row", pa.int64()), ("section", pa.int32()), ("name", pa.string()),
-             ("start", pa.int64()), ("end", pa.int64()), ("n_tokens", pa.float64()), ("n_crossing", pa.int64())]
-        )
+
+        def table(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
+            rows, names, numbers, spans, tokens, crossing = zip(*held, strict=True)
+            take = pa.array(np.repeat(rows, [len(n) for n in numbers]))
+            number, span = np.concatenate(numbers), np.concatenate(spans)
+            return pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(take), batch.column("row").take(take),
+                    pa.array(number.astype(np.int32), mask=number < 0), pa.array([n for x in names for n in x], pa.string()),
+                    pa.array(span[:, 0]), pa.array(span[:, 1]), pa.array(np.concatenate(tokens)), pa.array(np.concatenate(crossing)),
+                ],
+                names=["doc_id", "row", "section", "name", "start", "end", "n_tokens", "n_crossing"],
+            )
+
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
-            ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
-            found: list[pd.DataFrame] = []
+            given = batch.column("sections") if "sections" in batch.schema.names else None
+            held: list[tuple] = []
             for i in range(batch.num_rows):
                 raw = data[offsets[i] : offsets[i + 1]]
                 if not len(raw):
                     continue
-                ends = np.cumsum(size[tokenizer.encode_ordinary(raw.tobytes().decode("utf-8", "replace"))])
+                ids = tokenizer.encode_ordinary(raw.tobytes().decode("utf-8", "replace"))
+                ends = np.cumsum(size[np.array(ids, np.int64)])
                 # Byte offset of every character, and of the end.
                 chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
-                sections = _sections_of(batch.column("sections")[i].as_py(), len(chars) - 1)
-                spans = np.array([s[2:] for s in sections])
+                names, numbers, spans, byte_spans = _lines(raw, chars) if given is None else _sections_of(given[i].as_py(), chars)
                 full = spans[:, 1] > spans[:, 0]
-                bounds = np.append(chars[spans[full, 0]], len(raw))
+                bounds = np.append(byte_spans[full, 0], len(raw))
                 tokens, crossing = np.zeros(len(spans)), np.zeros(len(spans), np.int64)
                 tokens[full], crossing[full] = attribute(ends, bounds, rule)
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "doc_id": pd.array([ids[i]] * len(spans), "Int64"), "row": rows[i],
-                            "section": pd.array([s[1] for s in sections], "Int32"), "name": [s[0] for s in sections],
-                            "start": spans[:, 0], "end": spans[:, 1], "n_tokens": tokens, "n_crossing": crossing,
-                        }
-                    )
-                )
-                if len(found) >= 500:
-                    yield pa.RecordBatch.from_pandas(pd.concat(found), schema, preserve_index=False)
-                    found = []
-            if found:
-                yield pa.RecordBatch.from_pandas(pd.concat(found), schema, preserve_index=False)
+                held.append((i, names, numbers, spans, tokens, crossing))
+                if len(held) >= 500:
+                    yield table(batch, held)
+                    held = []
+            if held:
+                yield table(batch, held)
 
     return run
 
@@ -175,10 +171,10 @@ def count(docs: DataFrame, ranks_path: str, pattern: str, rule: str = "most") ->
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    text = F.col("text").cast("string")
-    given = F.col("sections").cast("array<struct<name:string,start:long,end:long>>") if "sections" in docs.columns else lines(text)
+    kind = "array<struct<name:string,start:long,end:long>>"
+    given = [F.col("sections").cast(kind).alias("sections")] if "sections" in docs.columns else []
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
-        text.alias("text"), given.alias("sections"),
+        F.col("text").cast("string").alias("text"), *given,
     )
     return rows.mapInArrow(_count(ranks_path, pattern, rule), COUNTS)

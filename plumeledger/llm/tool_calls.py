@@ -186,6 +186,7 @@ def calls_of_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user's turn calls ``respond``, a system turn calls ``configure``; the assistant's turn
     after either is the result. A user's call depends on the calls of the two turns before.
+    Turns of other roles, or of none, are neither: see ``format_turns``.
     """
     turns = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -217,3 +218,18 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict])
     errors = F.when(F.col("status") == "orphan", F.array(F.lit("no call"))).otherwise(F.col("errors"))
     errors = F.when(F.col("missing") > 0, F.array_append(errors, F.lit("missing dependency"))).otherwise(errors)
     return serialise(checked.withColumn("errors", errors))
+
+
+def format_turns(conversations: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """``format_calls`` of ``calls_of_turns``, and one row of status ``no role`` for every turn
+    whose role is null or none of user, system and assistant, its text as the message."""
+    found = format_calls(*calls_of_turns(conversations), schemas)
+    other = conversations.where(F.col("role").isNull() | ~F.col("role").cast("string").isin("user", "system", "assistant"))
+    turn = F.col("turn").cast("long")
+    message = F.when(F.col("text").isNotNull(), F.to_json(F.struct(F.col("text").cast("string").alias("text"))))
+    rows = other.select(
+        F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"), turn.alias("rank"),
+        F.lit("no role").alias("status"), F.lit(0).alias("missing"), F.array(F.lit("no role")).alias("errors"),
+        message.alias("message"),
+    )
+    return found.unionByName(rows, allowMissingColumns=True)

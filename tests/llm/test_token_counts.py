@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -67,3 +68,35 @@ def test_sections(spark):
         t.count(wrong, PATH, public_tokenizers.PATTERN).collect()
     with pytest.raises(ValueError, match="rule"):
         t.count(df, PATH, public_tokenizers.PATTERN, "none")
+
+
+def test_lines_of_whole_table_same_as_plain_version(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    tokenizer, size = t.encoder(PATH, public_tokenizers.PATTERN)
+    expected = set()
+    for r in docs.collect():
+        raw = (r["text"] or "").encode()
+        if not raw:
+            continue
+        pieces = r["text"].split("\n")
+        texts = [p + "\n" for p in pieces[:-1]] + [pieces[-1]]
+        bounds, chars = [0], [0]
+        for x in texts:
+            bounds.append(bounds[-1] + len(x.encode()))
+            chars.append(chars[-1] + len(x))
+        ends = np.cumsum(size[tokenizer.encode_ordinary(r["text"])]).tolist()
+        tokens, crossing = brute(ends, bounds, "most")
+        for k in range(len(texts)):
+            expected.add((r["doc_id"], k, "line", chars[k], chars[k + 1], tokens[k], crossing[k]))
+    rows = t.count(docs, PATH, public_tokenizers.PATTERN, "most").drop("row").collect()
+    assert {tuple(r) for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_time_grows_with_the_number_of_lines(spark):
+    seconds = {}
+    for n in (100, 50_000, 200_000):
+        df = spark.createDataFrame([(1, "a line\n" * n)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert t.count(df, PATH, public_tokenizers.PATTERN).count() == n + 1
+        seconds[n] = time.perf_counter() - start
+    assert seconds[200_000] < 5 * seconds[50_000] + 1

@@ -99,3 +99,12 @@ def test_odd_conversations(spark):
     assert status == [("linked", "respond"), ("orphan", ""), ("unanswered", "configure"), ("unanswered", "respond"), ("unanswered", "respond")]
     assert c.format_calls(*c.calls_of_turns(df.limit(0)), c.TURN_SCHEMAS).collect() == []
     assert "Python" not in plan_of(found)
+
+
+def test_turns_of_other_roles_are_rows_of_their_own(spark):
+    rows = [(1, 0, "user", "one two three four five"), (1, 1, "assistant", "yes"), (1, 2, None, "x"), (1, 3, "tool", None), (None, 4, "User", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    found = c.format_turns(df, c.TURN_SCHEMAS).collect()
+    other = [(r["conv_id"], r["turn"], r["errors"], r["message"]) for r in found if r["status"] == "no role"]
+    assert sorted(other, key=lambda x: x[1]) == [(1, 2, ["no role"], '{"text":"x"}'), (1, 3, ["no role"], None), (None, 4, ["no role"], '{"text":"y"}')]
+    assert len(found) == 4
