@@ -969,6 +969,10 @@ ORACLE: dict[str, str] = {
     ),
     "csv_to_table": _with(("loaded",), "select * from loaded"),
     "stream_to_table": _with(("loaded",), "select * from loaded"),
+    "stream_continuous": _with(
+        ("monthly",),
+        "select subsector, source_id, start_time, source_name, emissions_quantity, activity from monthly",
+    ),
     "csv_line_breaks": r"""
         select cast(doc_id as varchar) as doc_id, lang, md5(t) as text_md5
         from (select doc_id, lang, regexp_replace(text, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') as t from documents)

@@ -6,6 +6,7 @@ Sums of doubles are rounded to cents before anything is ranked by them.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -1045,6 +1046,32 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, root)
 
 
+@query
+def stream_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loader that stays on: the positive rows are there when it starts, the others come later."""
+    root, csv_root, checkpoint = (scratch_path(spark, label) for label in ("tables", "csv", "stream"))
+    months = _csv_text(standins.filled(_months(spark, sf_dir), "emissions_sources").drop("other"))
+    positive, pattern = F.col(QUANTITY).cast("double") > 0, KINDS["emissions_sources"].pattern
+    _write_csv(months.where(positive), f"{csv_root}/trade/a{pattern}1.csv")
+    running = ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint, continuous="1 second")
+
+    def wait(batches: int) -> None:
+        path, files = file_system(spark, f"{checkpoint}/done")
+        while running.exception() is None and not (files.exists(path) and len(files.listStatus(path)) >= batches):
+            time.sleep(0.2)
+
+    wait(1)
+    # Part files appear together, as a whole folder.
+    _write_csv(months.where(~positive), f"{csv_root}/later")
+    path, files = file_system(spark, f"{csv_root}/later")
+    files.rename(path, file_system(spark, f"{csv_root}/trade/b{pattern}1.csv")[0])
+    wait(2)
+    running.stop()
+    if running.exception() is not None:
+        raise running.exception()
+    return _loaded(spark, root)
+
+
 @query
 def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts, with their line breaks and quotes, in one CSV file that is split when read."""

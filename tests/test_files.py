@@ -3,6 +3,7 @@
 import csv
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -337,3 +338,37 @@ def test_one_file_is_read_by_as_many_tasks_as_it_has_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.files.openCostInBytes", before[1])
     whole = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "1.csv"))
     assert sorted(found.select("k", "v").collect()) == sorted(whole.collect())
+
+
+def test_a_loader_that_stays_on(spark, tmp_path, rows):
+    """Files that come between triggers are loaded, each once, also over a restart."""
+    csv_root, root, checkpoint = (str(tmp_path / n) for n in ("csv", "tables", "stream"))
+    loaded = []
+
+    def quantity():
+        return rows(read_table(spark, root, "emissions_sources").select("source_id", "emissions_quantity"), sort=True)
+
+    def wait(n):
+        done = tmp_path / "stream" / "done"
+        limit = time.time() + 120
+        while time.time() < limit and not (done.exists() and len([f for f in done.iterdir() if f.name.isdigit()]) >= n):
+            assert running.exception() is None
+            time.sleep(0.2)
+        loaded.append(n)
+
+    write_kind(tmp_path / "csv/power/a_emissions_sources_v1.csv", "emissions_sources", [SOURCE | {"emissions_quantity": "1"}])
+    running = ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint, continuous="1 second")
+    wait(1)
+    later = [SOURCE | {"emissions_quantity": "2"}, SOURCE | {"source_id": "8", "emissions_quantity": "3"}]
+    write_kind(tmp_path / "new.csv", "emissions_sources", later)
+    os.rename(tmp_path / "new.csv", tmp_path / "csv/power/_b_emissions_sources_v1.csv")
+    wait(2)
+    running.stop()
+    assert quantity() == [(7, 2.0), (8, 3.0)] and not spark.streams.active
+    running = ingest_stream(spark, csv_root, "emissions_sources", root, checkpoint, continuous="1 second")
+    write_kind(tmp_path / "new.csv", "emissions_sources", [SOURCE | {"emissions_quantity": "4"}])
+    os.rename(tmp_path / "new.csv", tmp_path / "csv/power/c_emissions_sources_v1.csv")
+    wait(3)
+    running.stop()
+    assert quantity() == [(7, 4.0), (8, 3.0)]
+    assert len([f for f in (tmp_path / "stream" / "done").iterdir() if f.name.isdigit()]) == 3
