@@ -5,11 +5,15 @@ Per path, the length of the text and the number of punctuation marks are summed
 blocks and divided by their number; both ratios are smoothed along the page, multiplied, and
 compared with their spread. Paths above that threshold carry prose. Their blocks are the main
 text, in page order, and with them all other blocks of their article or main elements or,
-where those do not hold half of the prose, of the smallest element that holds all those paths
-(there without lists of links that stand in no article). Left out are elements that are never
-content or hidden, and elements marked as something else by a class, id or role (menus,
-headers, footers, sidebars, notices, adverts, comments of readers), see ``_drop_marked``: a
-mark counts only where the prose of the page is somewhere else.
+where those do not hold half of the prose, of the smallest element that holds all that prose.
+If that is the whole body, the ratios alone decide: beside the paths above the threshold only
+headings that lead to a block of the main text stay, and items of lists and tables between
+two such blocks that are not made of links.
+
+Left out are elements that are never content or hidden, and elements marked as something else
+by a class, id or role (menus, headers, footers, sidebars, notices, adverts, comments of
+readers), see ``_drop_marked``: a mark counts only where the prose of the page is somewhere
+else. A header inside an article is the article's own and stays.
 
 Each page is handled by itself in one pass, so nothing is shuffled and a task holds one batch
 of pages. Defined results: a null, empty or textless page has the empty text; broken and
@@ -47,6 +51,9 @@ _CLOSES = {
 }
 _ARTICLE = {"article", "main"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_HOLDS_NO_BLOCK = {"p"} | _HEADINGS
+_ITEMS = {"li", "dt", "dd", "td", "th", "pre", "blockquote", "figcaption", "caption"}
+_WHOLE_PAGE = {"", "html", "body"}
 _KEEPS_CLASS = {"html", "body"} | _ARTICLE | _HEADINGS
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banners?|promos?|promotions?|sponsor(?:s|ed)?|"
@@ -62,7 +69,8 @@ _MARKED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    # A quote opens a value only behind an equals sign.
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -105,23 +113,48 @@ class _Element:
         self.depth = mark.depth + 1 if mark else 1
 
 
-class _Block:
-    __slots__ = ("article", "linked", "mark", "path", "text", "wanted")
+class _Path:
+    """A root-to-leaf path of tags; equal paths are one object, so that none is ever copied."""
+
+    __slots__ = ("article", "children", "tag")
+
+    def __init__(self, tag: str, parent: _Path | None) -> None:
+        self.tag, self.children = tag, {}
+        #: The path down to the outermost article or main element, if there is one.
+        self.article: _Path | None = (parent and parent.article) or (self if tag in _ARTICLE else None)
+
+    def child(self, tag: str) -> _Path:
+        if tag not in self.children:
+            self.children[tag] = _Path(tag, self)
+        return self.children[tag]
+
+
+class _Open:
+    """An open element: what holds for text inside it, and the blocks that it holds."""
+
+    __slots__ = ("article", "first", "last", "mark", "parent", "path", "wanted")
 
     def __init__(
-        self, path: tuple, text: str, linked: int, wanted: bool, mark: _Element | None, article: _Element | None
+        self, path: _Path, parent: _Open | None, wanted: bool, mark: _Element | None, article: _Element | None, first: int
     ) -> None:
-        self.path, self.text, self.linked, self.wanted = path, text, linked, wanted
-        self.mark, self.article = mark, article
+        self.path, self.parent, self.wanted, self.mark, self.article = path, parent, wanted, mark, article
+        self.first, self.last = first, -1
+
+
+class _Block:
+    __slots__ = ("article", "holder", "linked", "mark", "number", "path", "text", "wanted")
+
+    def __init__(self, holder: _Open, text: str, linked: int, number: int) -> None:
+        self.holder, self.text, self.linked, self.number = holder, text, linked, number
+        self.path, self.wanted, self.mark, self.article = holder.path, holder.wanted, holder.mark, holder.article
 
 
 def blocks(page: str) -> list[_Block]:
     """Text blocks of a page in order: path, text with single blanks, characters in links."""
     found: list[_Block] = []
-    # Open elements: tag, whether text inside is wanted, the nearest marked element and the
-    # nearest article or main element. Inline ones are not kept.
-    stack: list[tuple[str, bool, _Element | None, _Element | None]] = []
-    outside = ("", True, None, None)
+    # Open elements; inline ones are not kept. How many of each tag are open.
+    stack = [_Open(_Path("", None), None, True, None, None, 0)]
+    n_open: dict[str, int] = {}
     parts: list[str] = []
     linked, links = 0, 0
 
@@ -130,10 +163,15 @@ def blocks(page: str) -> list[_Block]:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, wanted, mark, article = stack[-1] if stack else outside
-            found.append(_Block(tuple(x[0] for x in stack), text, min(linked, len(text)), wanted, mark, article))
+            found.append(_Block(stack[-1], text, min(linked, len(text)), len(found)))
         linked = 0
 
+    def close() -> str:
+        done = stack.pop()
+        done.last = len(found)
+        n_open[done.path.tag] -= 1
+        return done.path.tag
+
     at, n = 0, len(page)
     while at < n:
         token = _TOKEN.search(page, at)
@@ -151,9 +189,9 @@ def blocks(page: str) -> list[_Block]:
         if token["close"]:
             if name == "a":
                 links = max(0, links - 1)
-            elif name not in _INLINE and any(x[0] == name for x in stack):
+            elif name not in _INLINE and n_open.get(name):
                 flush()
-                while stack.pop()[0] != name:
+                while close() != name:
                     pass
                 links = 0
             continue
@@ -162,8 +200,8 @@ def blocks(page: str) -> list[_Block]:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])|\Z", re.I).search(page, at)
             at = end.end()
             if end[0]:
-                close = page.find(">", at)
-                at = n if close < 0 else close + 1
+                stop = page.find(">", at)
+                at = n if stop < 0 else stop + 1
             continue
         if name == "br":
             parts.append(" ")
@@ -175,28 +213,33 @@ def blocks(page: str) -> list[_Block]:
         links = 0
         if name in _VOID:
             continue
-        if name in _CLOSES:
+        if name in _CLOSES and any(n_open.get(tag) for tag in _CLOSES[name][0]):
             closed, holders = _CLOSES[name]
             depth = len(stack)
-            while depth and stack[depth - 1][0] not in holders:
+            while depth > 1 and stack[depth - 1].path.tag not in holders:
                 depth -= 1
-            inner = [k for k in range(depth, len(stack)) if stack[k][0] in closed]
-            if inner:
-                del stack[inner[0] :]
-        while stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            stack.pop()  # none of these holds a block
-        _, wanted, mark, article = stack[-1] if stack else outside
-        wanted = wanted and name not in _NEVER and not _hidden(attributes)
+            inner = [k for k in range(depth, len(stack)) if stack[k].path.tag in closed]
+            while inner and len(stack) > inner[0]:
+                close()
+        while stack[-1].path.tag in _HOLDS_NO_BLOCK:
+            close()
+        around = stack[-1]
+        wanted, mark, article = around.wanted, around.mark, around.article
+        never = name in _NEVER and not (name == "header" and article)
+        wanted = wanted and not never and not _hidden(attributes)
         if wanted and _marked(name, attributes):
             mark = _Element(mark, article, _advert(attributes))
         if name in _ARTICLE:
             article = _Element(mark, article)
-            around = mark if wanted else None
-            while around and not around.holds_article:
-                around.holds_article = True
-                around = around.mark
-        stack.append((name, wanted, mark, article))
+            outer = mark if wanted else None
+            while outer and not outer.holds_article:
+                outer.holds_article = True
+                outer = outer.mark
+        stack.append(_Open(around.path.child(name), around, wanted, mark, article, len(found)))
+        n_open[name] = n_open.get(name, 0) + 1
     flush()
+    for element in stack:
+        element.last = len(found)
     return found
 
 
@@ -210,23 +253,30 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def prose_paths(found: list[_Block]) -> dict[tuple, float]:
+def prose_paths(found: list[_Block]) -> dict[_Path, float]:
     """Paths whose fused ratio passes the threshold, with the characters of their blocks."""
-    chars: dict[tuple, int] = {}
-    marks: dict[tuple, int] = {}
-    count: dict[tuple, int] = {}
+    chars: dict[_Path, int] = {}
+    marks: dict[_Path, int] = {}
+    count: dict[_Path, int] = {}
     for b in found:
         chars[b.path] = chars.get(b.path, 0) + len(b.text) - b.linked
         marks[b.path] = marks.get(b.path, 0) + len(_PUNCTUATION.findall(b.text))
         count[b.path] = count.get(b.path, 0) + 1
     by_text = _smoothed([chars[b.path] / count[b.path] for b in found])
     by_mark = _smoothed([marks[b.path] / count[b.path] for b in found])
-    fused = [x * y for x, y in zip(by_text, by_mark, strict=True)]
+    # The share of its last tag in the page's text keeps a single block from passing by its
+    # neighbours alone.
+    of_tag: dict[str, int] = {}
+    for path, size in chars.items():
+        of_tag[path.tag] = of_tag.get(path.tag, 0) + size
+    whole = sum(of_tag.values()) or 1
+    share = [of_tag[b.path.tag] / whole for b in found]
+    fused = [x * y * z for x, y, z in zip(by_text, by_mark, share, strict=True)]
     if not any(fused):
         fused = by_text
     mean = sum(fused) / len(fused)
     spread = (sum((x - mean) ** 2 for x in fused) / len(fused)) ** 0.5
-    total: dict[tuple, float] = {}
+    total: dict[_Path, float] = {}
     for b, x in zip(found, fused, strict=True):
         total[b.path] = total.get(b.path, 0.0) + x
     passing = {p: chars[p] for p, x in total.items() if x / count[p] >= min(spread, mean) and chars[p] > 0}
@@ -274,7 +324,7 @@ def _drop_marked(found: list[_Block]) -> list[_Block]:
     for depth in sorted(levels):
         for b in (b for mark in fresh for b in of_mark.get(mark, ()) if b.article):
             any_article = True
-            if b.path in chosen and b.path[-1] not in _HEADINGS:
+            if b.path in chosen and b.path.tag not in _HEADINGS:
                 articles.add(b.article)
         fresh = set()
         for mark in levels[depth]:
@@ -287,18 +337,14 @@ def _drop_marked(found: list[_Block]) -> list[_Block]:
     return left if any(b.article or b.path in chosen for b in left) else found
 
 
-def _article_depth(path: tuple) -> int:
-    """Length of the path down to its outermost article or main element, 0 without one."""
-    return next((k for k, tag in enumerate(path, 1) if tag in _ARTICLE), 0)
-
-
-def _common(paths: list[tuple]) -> tuple:
-    """The longest common beginning."""
-    low, high = min(paths), max(paths)
-    same = 0
-    while same < min(len(low), len(high)) and low[same] == high[same]:
-        same += 1
-    return low[:same]
+def _smallest_holder(found: list[_Block]) -> _Open:
+    """The smallest element that holds all of some blocks."""
+    low, high = found[0].number, found[-1].number
+    holder = found[0].holder
+    while not holder.first <= low <= high < holder.last:
+        holder = holder.parent
+    # The element of one block holds nothing that could stand beside it.
+    return holder.parent if holder.parent and holder.last - holder.first == 1 else holder
 
 
 def main_text(page: str | None) -> str:
@@ -308,21 +354,36 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     chosen = prose_paths(found)
-    inside = {p[: _article_depth(p)]: 0.0 for p in chosen if _article_depth(p)}
-    for p, c in chosen.items():
-        if _article_depth(p):
-            inside[p[: _article_depth(p)]] += c
-    holders = list(inside) if 2 * sum(inside.values()) >= sum(chosen.values()) else [_common([p[:-1] for p in chosen])]
-    kept = [
-        b.text
-        for b in found
-        if b.path in chosen
-        or (
-            any(b.path[: len(h)] == h for h in holders)
-            and (_article_depth(b.path) or 10 * b.linked < 8 * len(b.text))
-        )
-    ]
-    return "\n".join(kept)
+    in_articles = sum(c for p, c in chosen.items() if p.article)
+    prose = [b for b in found if b.path in chosen]
+    if 2 * in_articles >= sum(chosen.values()):
+        articles = {p.article for p in chosen if p.article}
+        kept = [b for b in found if b.path in chosen or (b.path.article and b.path.article in articles)]
+    else:
+        holder = _smallest_holder(prose)
+        if holder.path.tag in _WHOLE_PAGE:
+            kept = _by_ratio(found, chosen)
+        else:
+            kept = [b for b in found if holder.first <= b.number < holder.last]
+    return "\n".join(b.text for b in kept)
+
+
+def _by_ratio(found: list[_Block], chosen: dict[_Path, float]) -> list[_Block]:
+    """Blocks of the chosen paths, the headings that lead to them, and items between them."""
+    places = [i for i, b in enumerate(found) if b.path in chosen]
+    kept = []
+    leads = False  # whether the next block that is no heading is kept
+    for i in range(len(found) - 1, -1, -1):
+        b = found[i]
+        inside = places[0] < i < places[-1]
+        if b.path.tag in _HEADINGS:
+            stays = b.path in chosen or leads
+        else:
+            item = inside and b.path.tag in _ITEMS and 10 * b.linked < 8 * len(b.text)
+            stays = leads = b.path in chosen or item
+        if stays:
+            kept.append(b)
+    return kept[::-1]
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

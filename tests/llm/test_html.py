@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -111,3 +112,48 @@ def test_odd_tables(spark):
     found = sorted(map(repr, (tuple(r) for r in h.extract(df).collect())))
     assert found == sorted(map(repr, [(1, "u", "", 0), (None, None, PROSE, len(PROSE)), (2, "u", PROSE, len(PROSE)), (2, "u", PROSE, len(PROSE))]))
     assert h.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div><p>{PROSE}</p><p>{PROSE}</p>{LINKS}</div>{LINKS}", f"{PROSE}\n{PROSE}\nFirst source\nSecond source"),
+        (f"<body>{LINKS}<h1>T</h1><p>{PROSE}</p><ul><li>one<li>two</ul><p>{PROSE}</p><h2>More</h2><div>Buy.</div></body>", f"T\n{PROSE}\none\ntwo\n{PROSE}"),
+        (f"<article><a title=it's>link</a><p>{PROSE}</p></article>", f"link\n{PROSE}"),
+        (f"<p title=a\"b>{PROSE}</p><p data-x = '>'>{PROSE}</p>", f"{PROSE}\n{PROSE}"),
+        (f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>{PROSE}</p></article>", f"Title\n{PROSE}"),
+    ],
+)
+def test_nothing_else_is_lost(page, text):
+    assert h.main_text(page) == text
+
+
+def article_of(page):
+    inside = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S)
+    pieces = re.split(r"</?(?:p|h1)>", inside[1] if inside else "")
+    plain = [" ".join(html.unescape(re.sub(r"<[^>]*(>|\Z)", " ", x)).split()) for x in pieces]
+    return "\n".join(x for x in plain if x)
+
+
+@pytest.mark.parametrize("tag", ["div", ""])
+def test_ratios_decide_without_article_tags_and_class_words(spark, sf_dir, tag, monkeypatch):
+    """The given pages with other tags for their article, or none, and no class of the advert."""
+    pages = [r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    strip = lambda page: re.sub(
+        r"<(/?)article>", rf"<\1{tag}>" if tag else "", re.sub(r' class="[^"]*"', "", page)
+    )
+    right = sum(h.main_text(strip(page)) == article_of(page) for page in pages)
+    # An advert as long as the only paragraph cannot be told from it by ratios.
+    assert right >= 0.9 * len(pages)
+    monkeypatch.setattr(h, "prose_paths", lambda found: {b.path: float(len(b.text)) for b in found})
+    assert sum(h.main_text(strip(page)) == article_of(page) for page in pages) < 0.1 * len(pages)
+
+
+def test_deep_nesting_takes_time_by_its_depth():
+    seconds = {}
+    for n in (1000, 10_000, 40_000):
+        page = "<div>x" * n + f"<p>{PROSE}" + "</div>" * n
+        start = time.perf_counter()
+        assert PROSE in h.main_text(page)
+        seconds[n] = time.perf_counter() - start
+    assert seconds[40_000] < 8 * seconds[10_000] + 0.5
