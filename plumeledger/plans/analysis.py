@@ -25,23 +25,26 @@ ROLLUPS = (
 )
 
 
-def run_analysis(spark: SparkSession, root: str) -> None:
-    """Compute and refresh all rollups.
+def run_analysis(spark: SparkSession, root: str) -> dict[str, int]:
+    """Compute and refresh all rollups; table -> rows, counted while they were written.
 
     The facility rollup feeds three results and is written once to scratch in between; the
     stored table cannot serve, because it keeps one row per key where the rankings and the
     owner counts see every variant of a renamed or moved facility.
     """
     country = read_table(spark, root, "country_emissions")
-    write_table(sector_year(country), root, "analysis_sector_year", mode="refresh")
+    counts = {"analysis_sector_year": write_table(sector_year(country), root, "analysis_sector_year", mode="refresh")}
 
     sources = read_table(spark, root, "emissions_sources")
     ownership = read_table(spark, root, "emissions_sources_ownership")
     with written(source_year(sources), "source-year") as stage:
         facilities = stage.rows
-        write_table(source_year_by_key(facilities), root, "analysis_source_year", mode="refresh")
-        write_table(top_sources(facilities), root, "analysis_top_sources", mode="refresh")
-        write_owner_tables(owner_year(facilities, controlling_parent(ownership)), root)
+        name = "analysis_source_year"
+        counts[name] = write_table(source_year_by_key(facilities), root, name, mode="refresh")
+        name = "analysis_top_sources"
+        counts[name] = write_table(top_sources(facilities), root, name, mode="refresh")
+        counts |= write_owner_tables(owner_year(facilities, controlling_parent(ownership)), root)
+    return counts
 
 
 def reports(

@@ -704,6 +704,17 @@ ORACLE: dict[str, str] = {
         union all select 'analysis_owner_trend', count(*) from monthly_owner
         """,
     ),
+    "analysis_written": _with(
+        ("sector_year", "monthly_year", "monthly_owner"),
+        """
+        select 'analysis_sector_year' as table_name, count(*) as row_count from sector_year
+        union all select 'analysis_source_year', count(*) from monthly_year
+        union all select 'analysis_top_sources', cast(sum(least(n, 20)) as bigint) from
+                  (select count(*) as n from monthly_year group by subsector, year) g
+        union all select 'analysis_owner_year', count(*) from monthly_owner
+        union all select 'analysis_owner_trend', count(*) from monthly_owner
+        """,
+    ),
     "analysis_owner_trend": _with(("monthly_owner",), "select * from monthly_owner"),
     "ingest_sources": _with(
         ("files",),

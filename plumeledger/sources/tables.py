@@ -14,7 +14,7 @@ import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyed import latest_by_key, upsert
@@ -109,8 +109,9 @@ def _leaves(spark: SparkSession, root: str, name: str, batch: str) -> list[str]:
 
 def _publish(
     rows: DataFrame, root: str, name: str, n_files: int, kept: list[str] | None, replaced: bool
-) -> None:
-    """Write ``rows`` as a new batch, laid out by the whole key, and publish the snapshot.
+) -> int:
+    """Write ``rows`` as a new batch, laid out by the whole key, and publish the snapshot. The
+    rows written are returned: they are counted as they pass, not read again.
 
     The key is unique, so its ranges are even however the rows spread over partitions or
     facilities: one hot partition becomes several files, a small one part of a task.
@@ -120,7 +121,10 @@ def _publish(
     spark, table, base = rows.sparkSession, TABLES[name], table_path(root, name)
     order = list(dict.fromkeys([*table.directories, *table.key]))
     batch = f"batch={uuid.uuid4().hex}"
-    writer = rows.repartitionByRange(n_files, *order).sortWithinPartitions(*order).write
+    seen = Observation()
+    # Above the exchange, so that the sampling for its ranges is not counted.
+    laid = rows.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+    writer = laid.observe(seen, F.count(F.lit(1)).alias("rows")).write
     if table.directories:
         writer = writer.partitionBy(*table.directories)
     writer.parquet(f"{base}/{batch}")
@@ -142,6 +146,7 @@ def _publish(
     if not files.rename(hidden, final):
         raise RuntimeError(f"another write to {name} was published first; write the rows again")
     _clean(spark, root, name, [*numbers, number])
+    return seen.get["rows"]
 
 
 def _clean(spark: SparkSession, root: str, name: str, numbers: list[int]) -> None:
@@ -175,8 +180,8 @@ def write_table(
     mode: str = "upsert",
     order: Sequence[Column] | None = None,
     file_bytes: int = FILE_BYTES,
-) -> None:
-    """Write rows into a table.
+) -> int:
+    """Write rows into a table; the number of rows in the files written is returned.
 
     ``upsert`` replaces rows by key and leaves all others. ``order`` says which incoming
     row wins a key (the first); it may use further columns of ``df``, and is by default
@@ -208,7 +213,7 @@ def write_table(
             existing = _touched(existing, batch.rows, table.directories)
             merged = upsert(existing, batch.rows, table.key)
             size += _bytes(_touched(_placed(spark, root, name, live), batch.rows, table.directories))
-        _publish(merged, root, name, max(1, math.ceil(size / file_bytes)), live, mode == "upsert")
+        return _publish(merged, root, name, max(1, math.ceil(size / file_bytes)), live, mode == "upsert")
 
 
 def _placed(spark: SparkSession, root: str, name: str, live: list[str]) -> DataFrame:
@@ -225,8 +230,8 @@ def _bytes(placed: DataFrame) -> int:
     return placed.select("file", "size").distinct().agg(F.sum("size")).first()[0] or 0
 
 
-def write_owner_tables(owner_years: DataFrame, root: str) -> None:
-    """The same rows under (year, owner) and under (owner, year)."""
+def write_owner_tables(owner_years: DataFrame, root: str) -> dict[str, int]:
+    """The same rows under (year, owner) and under (owner, year); table -> rows written."""
     with written(owner_years, "owner-year") as stage:
-        for name in ("analysis_owner_year", "analysis_owner_trend"):
-            write_table(stage.rows, root, name, mode="refresh")
+        names = ("analysis_owner_year", "analysis_owner_trend")
+        return {name: write_table(stage.rows, root, name, mode="refresh") for name in names}

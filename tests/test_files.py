@@ -161,7 +161,8 @@ def check_sources(spark, rows, root):
 @pytest.mark.parametrize("multiline", [True, False])
 def test_load(spark, tmp_path, rows, csv_root, multiline, capsys):
     root = str(tmp_path / "tables")
-    load(spark, csv_root, root, multiline=multiline)
+    counts = load(spark, csv_root, root, multiline=multiline)
+    assert counts == {"country_emissions": (0, 0), "emissions_sources": (53, 1), "confidence": (1, 0), "ownership": (0, 0)}
     check_sources(spark, rows, root)
     assert read_table(spark, root, "emissions_sources_confidence").first()["capacity"] == "1"
     assert "a_emissions_sources_v1.csv" in capsys.readouterr().out
