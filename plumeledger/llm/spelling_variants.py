@@ -28,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch
+from .textbytes import mix
 
 LEAST_LETTERS, LEAST_COUNT, TIMES = 7, 2, 10
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,6 +93,16 @@ def vectors(words: pa.Array) -> np.ndarray:
     return np.bincount(of * width + _GROUP[letters], minlength=n * width).reshape(n, width)
 
 
+def _distinct(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, in no order, and which of them each row is. Rows are grouped by a
+    hash, and by themselves if two that differ should share one."""
+    factor = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 62, counts.shape[1], dtype=np.int64)
+    _, first, of_row = np.unique(mix((counts * factor).sum(1).view(np.uint64)), return_index=True, return_inverse=True)
+    if (counts[first][of_row] == counts).all():
+        return counts[first], of_row
+    return np.unique(counts, axis=0, return_inverse=True)
+
+
 VECTOR = "word string, n long, counts array<int>"
 
 
@@ -176,7 +188,7 @@ def _search_shard(rows: pa.Table) -> pa.Table:
     found: list[tuple[np.ndarray, np.ndarray]] = []
     if len(place):
         trie = FrequencyTrie(counts[place])
-        by_vector, of_word = np.unique(counts, axis=0, return_inverse=True)
+        by_vector, of_word = _distinct(counts)
         order = np.argsort(of_word, kind="stable")
         first = np.searchsorted(of_word[order], np.arange(len(by_vector) + 1))
         for leaf, at in trie.search(by_vector):
@@ -199,9 +211,10 @@ def _search_shard(rows: pa.Table) -> pa.Table:
     word = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
     near = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
     # Per word the most frequent near word, of several the smallest.
-    rank = np.empty(len(words), np.int64)
-    rank[words.to_numpy(zero_copy_only=False).argsort(kind="stable")] = np.arange(len(words))
-    order = np.lexsort((rank[near], -n[near], word))
+    met, at = np.unique(near, return_inverse=True)
+    rank = np.empty(len(met), np.int64)
+    rank[pc.sort_indices(words.take(pa.array(met))).to_numpy()] = np.arange(len(met))
+    order = np.lexsort((rank[at], -n[near], word))
     word, near = word[order], near[order]
     head = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else word
     return pa.table(
