@@ -47,7 +47,7 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _IN_TERM = np.zeros(256, bool)
 _IN_TERM[65:91] = _IN_TERM[97:123] = _IN_TERM[128:] = True
 #: A block holds about so many bytes of whole texts; one longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 #: Sources a side that a task compares, terms of a bucket, and terms compared at a time.
 TILE, BUCKET_ROWS, _AT_A_TIME = 64, 200_000, 2048
 #: Chunks of a bucket, counted once for every block that holds them.
@@ -55,7 +55,7 @@ BUCKET_CHUNKS = 400_000
 
 # All lists are packed: a list column would be measured anew for every row sent to a task.
 BLOCKS = (
-    "block long, n_chunks long, chunks binary, ends binary, held binary, bounds binary, groups binary, of_doc binary"
+    "block long, n_chunks long, chunks binary, ends binary, held binary, per_chunk binary, groups binary, of_doc binary"
 )
 
 
@@ -93,6 +93,20 @@ def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+def _steps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Rising numbers as the steps between them, anew in each of the ranges: most are small,
+    which shuffle files compress well."""
+    steps = np.diff(values, prepend=values[:1])
+    heads = bounds[:-1][bounds[1:] > bounds[:-1]]
+    steps[heads] = values[heads]
+    return steps.astype(np.uint32)
+
+
+def _unstepped(column: pa.ChunkedArray) -> np.ndarray:
+    rows = [np.cumsum(np.frombuffer(x, np.uint32), dtype=np.int64) for x in column.to_pylist()]
+    return np.concatenate([*rows, np.zeros(0, np.int64)])
+
+
 def _places(n_docs: int) -> type:
     """The type that numbers the documents of a block."""
     return np.uint16 if n_docs <= 1 << 16 else np.uint32
@@ -109,7 +123,7 @@ def _blocks(block_bytes: int) -> Callable:
                 n = len(found.dictionary)
                 code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 held = np.sort(code * (hi - lo) + np.repeat(np.arange(hi - lo), np.diff(runs)))
-                bounds = np.searchsorted(held // (hi - lo), np.arange(n + 1)).astype(np.uint32)
+                per_chunk = np.bincount(held // (hi - lo), minlength=n).astype(np.uint32)
                 pairs = list(zip(*(batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("lang", "source")), strict=True))
                 groups = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
                 of_doc = np.array([groups[pair] for pair in pairs], np.uint32)
@@ -121,11 +135,11 @@ def _blocks(block_bytes: int) -> Callable:
                         pa.array([chunk_bytes.tobytes()], pa.binary()),
                         pa.array([np.diff(ends).astype(np.uint32).tobytes()]),
                         pa.array([(held % (hi - lo)).astype(_places(hi - lo)).tobytes()]),
-                        pa.array([bounds.tobytes()]),
+                        pa.array([per_chunk.tobytes()]),
                         pa.array([json.dumps(list(groups)).encode()]),
                         pa.array([of_doc.tobytes()]),
                     ],
-                    names=["block", "n_chunks", "chunks", "ends", "held", "bounds", "groups", "of_doc"],
+                    names=["block", "n_chunks", "chunks", "ends", "held", "per_chunk", "groups", "of_doc"],
                 )
                 block += 1
 
@@ -154,7 +168,7 @@ def _dealt(buckets: int) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(held), pa.array(np.full(len(held), row["block"])),
-                        _binaries(order.astype(np.uint32), bounds), _binaries(sizes[order].astype(np.uint32), bounds),
+                        _binaries(_steps(order, bounds), bounds), _binaries(sizes[order].astype(np.uint32), bounds),
                         _binaries(moved, offsets[bounds]),
                     ],
                     names=["bucket", "block", "ids", "sizes", "chunks"],
@@ -166,7 +180,7 @@ def _dealt(buckets: int) -> Callable:
 def _split_chunks(rows: pa.Table) -> pa.Table:
     """The terms of one bucket's chunks, each distinct chunk split once, for every block."""
     sizes = _unpacked(rows["sizes"], np.uint32)
-    ids = _unpacked(rows["ids"], np.uint32)
+    ids = _unstepped(rows["ids"])
     chunk = _strings(b"".join(rows["chunks"].to_pylist()), sizes).dictionary_encode()
     data, offsets = _bytes_of(chunk.dictionary)
     data = LOWER[data]
@@ -188,7 +202,7 @@ def _split_chunks(rows: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": rows["block"],
-            "ids": _binaries(np.repeat(ids, per_id), ends_of_row),
+            "ids": _binaries(_steps(np.repeat(ids, per_id), ends_of_row), ends_of_row),
             "times": _binaries(times[at].astype(np.uint32), ends_of_row),
             "sizes": _binaries(np.diff(offsets).astype(np.uint32), ends_of_row),
             "terms": _binaries(terms, offsets[ends_of_row]),
@@ -210,9 +224,10 @@ def _merge_block(buckets: int) -> Callable:
         of_doc = np.frombuffer(named["of_doc"][0].as_py(), np.uint32).astype(np.int64)
         rows = rows.filter(rows["terms"].is_valid())
         held = np.frombuffer(named["held"][0].as_py(), _places(len(of_doc)))
-        bounds = np.frombuffer(named["bounds"][0].as_py(), np.uint32).astype(np.int64)
+        per_chunk = np.frombuffer(named["per_chunk"][0].as_py(), np.uint32)
+        bounds = np.concatenate([[0], np.cumsum(per_chunk, dtype=np.int64)])
         term = _strings(b"".join(rows["terms"].to_pylist()), _unpacked(rows["sizes"], np.uint32)).dictionary_encode()
-        chunk = _unpacked(rows["ids"], np.uint32).astype(np.int64)
+        chunk = _unstepped(rows["ids"])
         first = bounds[chunk]
         sizes = bounds[chunk + 1] - first
         at = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
@@ -306,7 +321,7 @@ def term_counts(docs: DataFrame, least_docs: int = 1, scratch: Scratch | None =
     buckets = max(8, -(-(blocks.agg(F.sum("n_chunks")).first()[0] or 0) // BUCKET_CHUNKS))
     asked = blocks.select("block", "chunks", "ends").mapInArrow(_dealt(buckets), ASKED)
     answers = asked.groupBy("bucket").applyInArrow(_split_chunks, ANSWERS)
-    kept = ["held", "bounds", "groups", "of_doc"]
+    kept = ["held", "per_chunk", "groups", "of_doc"]
     none = lambda names: [F.lit(None).cast("binary").alias(c) for c in names]
     packed = ["ids", "times", "sizes", "terms"]
     whole = answers.select("block", *packed, *none(kept)).union(blocks.select("block", *none(packed), *kept))
