@@ -548,7 +548,7 @@ ORACLE: dict[str, str] = {
         from source_year y join (select subsector, year, max(emissions_quantity) as largest
                                  from source_year where {_DRAWABLE} group by subsector, year) m
              using (subsector, year)
-        where {_DRAWABLE} and {_SELECTED}
+        where {_DRAWABLE}
         """,
     ),
     "selection_summary": _with(
@@ -560,9 +560,9 @@ ORACLE: dict[str, str] = {
     ),
     "selection_summary_set": _with(
         ("source_year",),
-        f"""
+        """
         select subsector, year, count(*) as facilities, round(sum(emissions_quantity), 2) as total
-        from source_year where {_SELECTED} group by subsector, year
+        from source_year group by subsector, year
         """,
     ),
     "owner_trend_compare": _with(

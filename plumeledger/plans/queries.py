@@ -416,9 +416,18 @@ def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(points, "radius", 6)
 
 
+def _all_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of every subsector in every year that has any, and those without either, which
+    no parameter finds."""
+    years = _source_years(spark, sf_dir)
+    found = lookups.points_of_for(years, years.select("subsector", "year"))
+    unnamed = years.filter(F.col("subsector").isNull() | F.col("year").isNull())
+    return found.unionByName(unnamed.select(*found.columns))
+
+
 @query
 def map_points_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(presentation.map_points_by(points_of_set(spark, sf_dir)), "radius", 6)
+    return rounded(presentation.map_points_by(_all_points(spark, sf_dir)), "radius", 6)
 
 
 @query
@@ -429,7 +438,7 @@ def selection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def selection_summary_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = points_of_set(spark, sf_dir)
+    points = _all_points(spark, sf_dir)
     return rounded(presentation.selection_summary(points, ("subsector", "year")), "total")
 
 
