@@ -179,6 +179,17 @@ def test_hot_partition_becomes_several_files(spark, tmp_path):
     assert read_table(spark, root, "emissions_sources").count() == 20001
 
 
+def test_rows_bound_a_task_however_small_their_file(spark, tmp_path):
+    """A million alike rows are a few bytes each on disk, and all of their width when sorted."""
+    root, day = str(tmp_path), datetime(2020, 1, 1)
+    alike = months(spark, [("a", k, day, 1.0) for k in range(300)])
+    write_table(alike, root, "emissions_sources", file_rows=100)
+    assert len(files(root, "emissions_sources")) == 3
+    write_table(months(spark, [("a", k, day, 2.0) for k in range(300, 400)]), root, "emissions_sources", file_rows=100)
+    assert len(files(root, "emissions_sources")) == 3 + 4  # the folder before, and the one of 400 rows
+    assert read_table(spark, root, "emissions_sources").count() == 400
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     root = str(tmp_path)
     day = datetime(2020, 1, 1)
