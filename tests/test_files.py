@@ -373,3 +373,55 @@ def test_a_loader_that_stays_on(spark, tmp_path, rows):
     running.stop()
     assert quantity() == [(7, 4.0), (8, 3.0)]
     assert len([f for f in (tmp_path / "stream" / "done").iterdir() if f.name.isdigit()]) == 3
+
+
+def _blocks_of(lines, size, cutting):
+    """Pieces and final states of one block whose lines come in batches of ``size``."""
+    import pyarrow as pa
+
+    n = len(lines)
+    table = {"value": pa.array(lines), "file": pa.array(["f"] * n), "block": pa.array([7] * n, pa.int64())}
+    batches = [pa.RecordBatch.from_pydict(table).slice(lo, size) for lo in range(0, n, size)]
+    return [row for batch in cutting(iter(batches)) for row in batch.to_pylist()]
+
+
+def test_a_block_is_cut_batch_by_batch():
+    from plumeledger.sources.csv_records import STATE, _blocks, _recut
+
+    lines = ["a,b", 'c,"d', "", 'e",f', "g,h", 'i",j', "k", 'l,"m', "n"] * 3
+    for cutting in (_blocks, _recut):
+        whole = _blocks_of(lines, len(lines), cutting)
+        assert "\n".join(r["value"] for r in whole if r["part"] != STATE) == "\n".join(lines)
+        assert [r["part"] for r in whole].count(STATE) == 1 and whole[-1]["part"] == STATE
+        for size in (1, 2, 3, 5):
+            assert _blocks_of(lines, size, cutting) == whole
+
+
+def test_a_batch_of_lines_is_not_held():
+    """What is out is out: the records of one batch come before the next batch is asked for."""
+    import pyarrow as pa
+
+    from plumeledger.sources.csv_records import _blocks
+
+    asked = []
+
+    def batches():
+        for k in range(3):
+            asked.append(k)
+            yield pa.RecordBatch.from_pydict({
+                "value": pa.array(["a,b"] * 4), "file": pa.array(["f"] * 4), "block": pa.array([0] * 4, pa.int64())
+            })
+
+    first = next(_blocks(batches()))
+    assert asked == [0] and first.num_rows == 4
+
+
+def test_files_with_hidden_names_are_linked_not_copied(spark, tmp_path):
+    from plumeledger.sources.csv_files import _visible
+
+    hidden = tmp_path / "_hidden.csv"
+    hidden.write_text("a,b\n1,2\n")
+    (shown, path), = _visible(spark, [f"file:{hidden}"]).items()
+    link = shown.removeprefix("file:")
+    assert os.path.islink(link) and os.path.samefile(link, hidden) and path == f"file:{hidden}"
+    assert [r["a"] for r in read_named_csv(spark, [path], ["a"]).collect()] == ["1"]
