@@ -1,15 +1,19 @@
 """CSV file sets: discovery, headers, dialect, rejects, loading and streaming."""
 
 import csv
+import gzip
 import os
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from plumeledger.plans import queries
 from plumeledger.schemas import TABLES
-from plumeledger.sources.csv_files import POSITION, REJECT, discover, headers, read_named_csv
+from plumeledger.sources import csv_records
+from plumeledger.sources.csv_files import POSITION, REJECT, discover, headers, list_files, read_named_csv
 from plumeledger.sources.csv_records import ends_inside
 from plumeledger.sources.ingest import (
     KINDS,
@@ -22,6 +26,7 @@ from plumeledger.sources.ingest import (
     split_rejects,
 )
 from plumeledger.sources.tables import read_table
+from plumeledger.sources.workspace import work_dir
 from plumeledger.streaming.incremental import ingest_stream
 
 
@@ -425,3 +430,45 @@ def test_files_with_hidden_names_are_linked_not_copied(spark, tmp_path):
     link = shown.removeprefix("file:")
     assert os.path.islink(link) and os.path.samefile(link, hidden) and path == f"file:{hidden}"
     assert [r["a"] for r in read_named_csv(spark, [path], ["a"]).collect()] == ["1"]
+
+
+@pytest.mark.parametrize("name", ["x.csv.gz", "_x.csv.gz"])
+def test_compressed_files_are_read_without_scratch(spark, tmp_path, rows, name):
+    """A header was taken from compressed bytes, and every record was written down once more."""
+    lines = 'k,v\r\n1,"a\n""b"""\r\n\r\n2,"x"\n3,"open\nlast'
+    path = tmp_path / name
+    path.write_bytes(gzip.compress(lines.encode()))
+    kept = lambda: {p for p in os.listdir(work_dir(spark)) if p.startswith("records-")}
+    before = kept()
+    found = read_named_csv(spark, [f"file:{path}"], ["v", "k"])
+    assert rows(found.select("k", "v"), sort=True) == [("1", 'a\n"b"'), ("2", "x"), ("3", "open\nlast")]
+    assert [r["_file"] for r in found.select("_file").distinct().collect()] == [f"file:{path}"]
+    assert kept() == before
+
+
+def test_plain_and_compressed_files_together(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('k,v\n1,"p\nq"\n')
+    (tmp_path / "b.csv.gz").write_bytes(gzip.compress(b'k,v\n2,"r\ns"\n'))
+    found = read_named_csv(spark, [f"file:{tmp_path}/a.csv", f"file:{tmp_path}/b.csv.gz"], ["k", "v"])
+    assert rows(found.select("k", "v"), sort=True) == [("1", "p\nq"), ("2", "r\ns")]
+
+
+def test_states_of_a_batch_are_those_line_by_line():
+    drawn = random.Random(1)
+    for _ in range(2000):
+        lines = ["".join(drawn.choice('"",,a \ré') for _ in range(drawn.randint(0, 12))) for _ in range(drawn.randint(0, 6))]
+        for inside in (False, True):
+            state, expected = inside, []
+            for line in lines:
+                state = csv_records.ends_inside(line, state) if '"' in line else state
+                expected.append(state)
+            assert csv_records._states(pa.array(lines, pa.string()), inside).tolist() == expected
+
+
+def test_input_files_of_queries_are_compressed(spark, sf_dir):
+    """The plain text of all facility rows, kept twice, filled the disk."""
+    root = queries._source_files(spark, sf_dir)
+    files = [path for path, _ in list_files(spark, root, KINDS["emissions_sources"].pattern)]
+    assert files
+    assert all(path.endswith(".csv.gz") for path in files)
+    assert {path.split("/trade/")[1].split("_")[0] for path in files} == {"", "a", "b", "c"}
