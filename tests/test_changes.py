@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from plumeledger.operators import ownership, ranking, rollups
@@ -93,3 +94,17 @@ def test_only_touched_groups_are_written(spark, root):
         changed = {group for group, file in files(name).items() if held[group] != file}
         assert changed == {("coal", 2020)}, name
     check(spark, root)
+
+
+def test_incoming_rows_are_ranked_once(spark, root, monkeypatch):
+    """Old and new rows of the changes each read and ranked the incoming rows anew."""
+    plans, real = [], changes.changes
+
+    def seen(existing, incoming, keys):
+        plans.append(plan_of(incoming))
+        return real(existing, incoming, keys)
+
+    monkeypatch.setattr(changes, "changes", seen)
+    changes.apply(spark, root, batch(spark, random.Random(5), 40))
+    assert plans and all("Window" not in plan for plan in plans)
+    check(spark, root)
